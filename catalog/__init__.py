@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with the SQL that gives the same result."""
 
-from . import expressions, keyed, monthly  # noqa: F401
+from . import bureau, expressions, keyed, monthly, payments  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

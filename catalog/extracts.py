@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.numbers import credit_key
-from ledgerspark.functions.text import canonical_id
 
 from .registry import table
 
@@ -51,9 +50,9 @@ ord AS (
         FROM orders))"""
 
 
-def lines(spark: SparkSession, d: str) -> DataFrame:
+def lines(spark: SparkSession, d: str, o: DataFrame | None = None) -> DataFrame:
     """Lines with the credit key of their order."""
-    keys = orders(spark, d).select("o_orderkey", "Credito", "Cedula_Cliente", "dia")
+    keys = (orders(spark, d) if o is None else o).select("o_orderkey", "Credito", "Cedula_Cliente", "dia")
     return table(spark, d, "lineitem").join(keys, F.col("l_orderkey") == F.col("o_orderkey")).drop(
         "o_orderkey")
 
@@ -66,7 +65,11 @@ lin AS (
 
 
 def installments(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).select(
+    return installments_of(lines(spark, d))
+
+
+def installments_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "Credito",
         F.to_date("l_shipdate").alias("Fecha_Cuota_Vigente"),
         F.col("l_linenumber").cast("bigint").alias("Cuota_Vigente"),
@@ -77,8 +80,12 @@ def installments(spark: SparkSession, d: str) -> DataFrame:
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
     """Sales documents, one row per item."""
-    parts = table(spark, d, "part").select("p_partkey", "p_name")
-    return lines(spark, d).join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+    return sales_of(lines(spark, d), table(spark, d, "part"))
+
+
+def sales_of(rows: DataFrame, part: DataFrame) -> DataFrame:
+    parts = part.select("p_partkey", "p_name")
+    return rows.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         "Credito",
         "Cedula_Cliente",
         F.concat(F.lit("c"), "Cedula_Cliente", F.lit("@mail.co")).alias("Correo"),
@@ -95,6 +102,8 @@ ventas AS (
   SELECT credito, cedula, dia, p_name, importe, CAST(l_quantity AS DECIMAL(18,2)) AS cantidad,
          row_number() OVER (PARTITION BY credito ORDER BY l_shipdate, l_linenumber, l_partkey,
                             l_suppkey, l_extendedprice) AS pos,
+         row_number() OVER (ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey,
+                            l_extendedprice) AS fila,
          l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice
   FROM lin JOIN part ON l_partkey = p_partkey)"""
 
@@ -113,7 +122,3 @@ def accounts(spark: SparkSession, d: str, status: str) -> DataFrame:
 
 
 ACCOUNT_ORDER = ["l_orderkey", *LINE_ORDER, "l_quantity"]
-
-
-def clean_client(c: str) -> Column:
-    return canonical_id(c)

@@ -11,9 +11,9 @@ from ledgerspark.operators import (
 )
 from ledgerspark.plans.monthly_base import monthly_base
 from ledgerspark.schemas import MONTHLY_ORDER
+from ledgerspark.session import written
 
-from .extracts import AS_OF, LINE_ORDER, LINES, ORDERS, SALES, lines, orders
-from .extracts import installments as installment_rows
+from .extracts import AS_OF, LINE_ORDER, LINES, ORDERS, SALES, installments_of, lines, orders, sales_of
 from .extracts import sales as sales_rows
 from .registry import query, shown, table
 
@@ -135,7 +135,7 @@ articulos AS (
   FROM nombres GROUP BY credito)"""
 
 SALES_MAP = f"""
-docs AS (SELECT credito, cedula, dia, min(pos) AS ord FROM ventas GROUP BY ALL),
+docs AS (SELECT credito, cedula, dia, min(fila) AS ord FROM ventas GROUP BY ALL),
 facturas AS ({_invoice_map_sql("docs", 30)}),
 articulos_credito AS (
   SELECT * FROM articulos WHERE credito NOT LIKE 'DF-%'
@@ -161,14 +161,14 @@ SELECT o.credito AS "Credito", coalesce(productos, 'NO APLICA') AS "Nombre_Produ
 FROM ord o LEFT JOIN articulos_credito a ON a.credito = o.credito""")
 def q_products_and_gifts(spark: SparkSession, d: str) -> DataFrame:
     sold = sales_rows(spark, d)
-    found = invoices.invoice_of_credit(sold, order=LINE_ORDER)
+    found = written(invoices.invoice_of_credit(sold, order=LINE_ORDER))
     return items.products_and_gifts(
         orders(spark, d).select("Credito"), sold, found, order=LINE_ORDER)
 
 
-def _contracts(spark: SparkSession, d: str) -> DataFrame:
+def _contracts(rows: DataFrame) -> DataFrame:
     """Contracts of lender A: an order and each line of it gives one, the last counts."""
-    return lines(spark, d).select(
+    return rows.select(
         F.concat(F.lit("x,"), F.regexp_replace("Credito", "-", ",")).alias("Factura_Venta"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("Valor_Cuota"),
         F.col("l_linenumber").cast("bigint").alias("Total_Cuotas"),
@@ -176,8 +176,8 @@ def _contracts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _disbursements(spark: SparkSession, d: str) -> DataFrame:
-    return lines(spark, d).select(
+def _disbursements(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.concat(F.lit(" "), F.lower("Credito")).alias("Credito"),
         F.col("l_linenumber").cast("bigint").alias("Total_Cuotas"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("Valor_Cuota"),
@@ -203,7 +203,7 @@ SELECT o.credito AS "Credito", CAST(cuotas AS BIGINT) AS "Total_Cuotas", cuota A
 FROM ord o LEFT JOIN condiciones c ON c.credito = o.credito""")
 def q_credit_details(spark: SparkSession, d: str) -> DataFrame:
     return shown(details.credit_details(
-        orders(spark, d).select("Credito"), _contracts(spark, d), _disbursements(spark, d),
+        orders(spark, d).select("Credito"), _contracts(lines(spark, d)), _disbursements(lines(spark, d)),
         order=LINE_ORDER))
 
 
@@ -237,9 +237,9 @@ def q_arrears_band(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey", "Dias_Atraso", arrears.arrears_band().alias("Franja_Mora"))
 
 
-def _matrix(spark: SparkSession, d: str) -> DataFrame:
+def _matrix(nation: DataFrame) -> DataFrame:
     """Zones: one per nation, with a collector and the call centres of each band."""
-    n = table(spark, d, "nation")
+    n = nation
     columns = {
         "Zona": F.concat(F.lit(" Z"), "n_nationkey"),
         "Cobrador": F.col("n_name"),
@@ -269,21 +269,21 @@ SELECT o_orderkey, d AS "Dias_Atraso", franja AS "Franja_Mora",
 FROM (SELECT *, {_BAND} AS franja FROM dias) JOIN customer ON o_custkey = c_custkey""")
 def q_call_center_routing(spark: SparkSession, d: str) -> DataFrame:
     centers = [c for g in arrears.CALL_CENTER_COLUMNS.values() for c in g]
-    zones = _matrix(spark, d).select(F.col("orden").alias("c_nationkey"), *centers)
+    zones = _matrix(table(spark, d, "nation")).select(F.col("orden").alias("c_nationkey"), *centers)
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     rows = with_days(orders(spark, d)).select("o_orderkey", "o_custkey", "Dias_Atraso")
     joined = rows.join(c, "o_custkey").join(zones, "c_nationkey").drop("o_custkey", "c_nationkey")
     return arrears.route_call_center(joined)
 
 
-def _concepts(spark: SparkSession, d: str) -> DataFrame:
+def _concepts(rows: DataFrame) -> DataFrame:
     concept = (
         F.when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), "ABONO DIF TASA")
         .when(F.col("l_returnflag") == "A", "CAPITAL")
         .when(F.col("l_returnflag") == "N", "AVAL")
         .otherwise("INTERES CORRIENTE")
     )
-    return lines(spark, d).select(
+    return rows.select(
         "Credito", concept.alias("Concepto"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("Saldo"))
 
@@ -309,15 +309,15 @@ SELECT o.credito AS "Credito", capital_n AS "Saldo_Capital",
 FROM (SELECT o.*, {_BALANCES} FROM ord o LEFT JOIN conceptos c ON c.credito = o.credito) o""")
 def q_concept_balances(spark: SparkSession, d: str) -> DataFrame:
     o = orders(spark, d).select("Credito", "Empresa", F.col("valor").alias("Saldo_Factura"))
-    done = balances.balances(o, _concepts(spark, d))
+    done = balances.balances(o, _concepts(lines(spark, d)))
     return done.select(
         "Credito", "Saldo_Capital", balances.balance_label("Saldo_Avales").alias("Saldo_Avales"),
         balances.balance_label("Saldo_Interes_Corriente").alias("Saldo_Interes_Corriente"))
 
 
-def _goals(spark: SparkSession, d: str) -> DataFrame:
+def _goals(nation: DataFrame) -> DataFrame:
     """Goals of the zones; zones of one region have two rows, zones of another none."""
-    n = table(spark, d, "nation").where("n_regionkey <> 4")
+    n = nation.where("n_regionkey <> 4")
     key = F.col("n_nationkey")
     goal = n.select(
         F.concat(F.lit("Z"), key).alias("Zona"),
@@ -376,7 +376,7 @@ def q_goal_metrics(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("o_orderstatus") != "F", F.col("valor")).alias("Meta_DC_Atraso"),
         F.col("c_acctbal").cast("decimal(18,2)").alias("Meta_Atraso"),
     )
-    done = goals.goal_metrics(balances.balances(rows, _concepts(spark, d)), _goals(spark, d))
+    done = goals.goal_metrics(balances.balances(rows, _concepts(lines(spark, d))), _goals(table(spark, d, "nation")))
     return shown(done.select(
         "Credito", "Meta_General", "Meta_%", "Meta_$", "Meta_TR_%", "Meta_TR_$",
         percent_text("Meta_%").alias("meta_texto")))
@@ -457,6 +457,8 @@ KEEP = [*LINE_ORDER, "orden"]
 def monthly_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """All extracts of the monthly base. ``KEEP`` holds their order columns."""
     o = orders(spark, d)
+    li = lines(spark, d, o)
+    nation = table(spark, d, "nation")
     c = table(spark, d, "customer")
     client = c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey", "c_acctbal")
     none = {k: F.lit(None) for k in KEEP}
@@ -492,22 +494,22 @@ def monthly_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {
         "R91": ordered(base),
         "ANALISIS": ordered(analysis),
-        "VENCIMIENTOS": ordered(installment_rows(spark, d)),
+        "VENCIMIENTOS": ordered(installments_of(li)),
         "R03": ordered(guarantors),
-        "SC04": ordered(_contracts(spark, d)),
-        "CRTMPCONSULTA1": ordered(sales_rows(spark, d)),
-        "FNZ003": ordered(_concepts(spark, d)),
-        "MATRIZ_CARTERA": ordered(_matrix(spark, d)),
-        "METAS_FRANJAS": ordered(_goals(spark, d)),
+        "SC04": ordered(_contracts(li)),
+        "CRTMPCONSULTA1": ordered(sales_of(li, table(spark, d, "part"))),
+        "FNZ003": ordered(_concepts(li)),
+        "MATRIZ_CARTERA": ordered(_matrix(nation)),
+        "METAS_FRANJAS": ordered(_goals(nation)),
         "ASESORES": ordered(own.where("s_acctbal > 0").select(
             F.col("s_suppkey").cast("string").alias("Codigo_Vendedor"),
             F.col("s_name").alias("Jefe_ventas"), F.lit("301").alias("Movil_Vendedor"),
             F.concat(F.lit("L"), "s_nationkey").alias("Lider_Zona"), F.lit("302").alias("Movil_Lider"),
             F.col("s_suppkey").alias("orden"))),
-        "CENTRO_COSTOS": ordered(table(spark, d, "nation").select(
+        "CENTRO_COSTOS": ordered(nation.select(
             F.col("n_nationkey").cast("string").alias("Codigo_Centro_Costos"),
             F.col("n_name").alias("Regional_Venta"), F.col("n_nationkey").alias("orden"))),
-        "DESEMBOLSOS_FINANSUEÑOS": ordered(_disbursements(spark, d)),
+        "DESEMBOLSOS_FINANSUEÑOS": ordered(_disbursements(li)),
     }
 
 

@@ -59,11 +59,8 @@ def plain_text(c: Column | str) -> Column:
 
 def invoice_key(c: Column | str) -> Column:
     """``a,b,FA,12`` -> ``FA-12``; text without a comma has no key."""
-    parts = F.split(_col(c), ",")
-    return F.when(
-        F.size(parts) >= 2,
-        F.concat(F.element_at(parts, -2), F.lit("-"), F.element_at(parts, -1)),
-    )
+    last_two = F.substring_index(_col(c), ",", -2)
+    return F.when(last_two.contains(","), F.replace(last_two, F.lit(","), F.lit("-")))
 
 
 def canonical_id(c: Column | str) -> Column:

@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ..functions.text import zero_pad
 
@@ -24,6 +25,10 @@ from ..functions.text import zero_pad
 HOT_ROWS = 100_000
 HOT_SHARE = 1e-5
 
+# A table up to this size, by Spark's own estimate, is one task's work however its keys are
+# spread, so its keys are not counted.
+SMALL_BYTES = 32 * 1024 * 1024
+
 _SALT = "_salt"
 _SPREAD = "_spread"
 
@@ -76,7 +81,7 @@ class HotKeys:
         return HotKeys(keys, table, self.blank)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, rows: int | None = None) -> HotKeys:
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Counts the rows per key and fetches the hot ones: the library's only action.
 
     It reads the key columns alone and shuffles one row per key and task. What comes back is
@@ -84,16 +89,40 @@ def hot_keys(df: DataFrame, keys: Sequence[str], *, rows: int | None = None) ->
     at least that share of the rows; so it may be broadcast as well. Most tables have none,
     and their joins then stay ordinary ones.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(float(rows or HOT_ROWS)), total * F.lit(HOT_SHARE))
+    return hot_keys_of(df, keys)[0]
+
+
+def hot_keys_of(df: DataFrame, *key_lists: Sequence[str]) -> list[HotKeys]:
+    """``hot_keys`` for several keys of one table in one pass over it."""
+    if estimated_bytes(df) <= SMALL_BYTES:
+        return [HotKeys(tuple(keys), None, blank=False) for keys in key_lists]
+    columns = list(dict.fromkeys(c for keys in key_lists for c in keys))
+    counts = df.groupingSets([list(keys) for keys in key_lists], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
+    )
+    total = counts.agg(F.sum("_n") / F.lit(len(key_lists))).scalar()
+    limit = F.greatest(F.lit(float(HOT_ROWS)), total * F.lit(HOT_SHARE))
     found = counts.where(F.col("_n") >= limit).select(
-        *keys, (F.ceil(F.col("_n") / limit) + 1).cast("int").alias(_SPREAD)
+        *columns, "_set", (F.ceil(F.col("_n") / limit) + 1).cast("int").alias(_SPREAD)
     )
     fetched = found.collect()
-    named = [r for r in fetched if None not in r]
-    table = df.sparkSession.createDataFrame(named, found.schema) if named else None
-    return HotKeys(tuple(keys), table, blank=len(named) < len(fetched))
+    return [_hot_of(df, keys, columns, fetched) for keys in key_lists]
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The size by which Spark itself decides on broadcasts: file sizes, never too low for a
+    join, whose estimate is the product of its sides."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _hot_of(df: DataFrame, keys: Sequence[str], columns: list[str], fetched: list[Row]) -> HotKeys:
+    # A grouping id has a bit for every column that is not part of the set.
+    own = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+    mine = [(*[r[k] for k in keys], r[_SPREAD]) for r in fetched if r["_set"] == own]
+    named = [r for r in mine if None not in r]
+    schema = StructType([df.schema[k] for k in keys]).add(_SPREAD, IntegerType())
+    table = df.sparkSession.createDataFrame(named, schema) if named else None
+    return HotKeys(tuple(keys), table, blank=len(named) < len(mine))
 
 
 def spread_join(
@@ -208,10 +237,10 @@ def flag_repeats(df: DataFrame, column: str, name: str) -> DataFrame:
     The counts name the hot keys as well, so the join back is spread without another pass.
     """
     counts = count_per_key(df, [column], "_n")
-    repeated = counts.where("_n > 1").select(column, F.lit(True).alias("_again"))
+    repeated = counts.where("_n > 1").select(column, F.lit(True).alias("_twice"))
     return (
         lookup(df, repeated, [column])
-        .withColumn(name, F.coalesce("_again", F.lit(False)))
-        .drop("_again")
+        .withColumn(name, F.coalesce("_twice", F.lit(False)))
+        .drop("_twice")
         .select(*df.columns, name)
     )
