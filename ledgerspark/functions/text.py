@@ -40,10 +40,15 @@ def zero_pad(c: Column | str, width: int) -> Column:
     ``lpad`` alone cuts longer text and would put the zeros before the sign.
     """
     text = _col(c).cast("string")
-    body = F.regexp_replace(text, "^[+-]", "")
-    sign = F.regexp_extract(text, "^([+-])", 1)
-    room = F.lit(width) - F.length(sign)
-    return F.concat(sign, F.lpad(body, F.greatest(room, F.length(body)), F.lit("0")))
+    signed = text.startswith("-") | text.startswith("+")
+    body = F.substring(text, 2, 1_000_000)
+    return F.when(
+        signed, F.concat(F.left(text, F.lit(1)), _filled(body, width - 1))
+    ).otherwise(_filled(text, width))
+
+
+def _filled(text: Column, width: int) -> Column:
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def space_pad(c: Column | str, width: int) -> Column:
@@ -82,7 +87,16 @@ def contains_any(c: Column | str, words: list[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def trimmed(c: Column | str) -> Column:
+    """Text without outer blanks; null becomes empty text."""
+    return F.trim(F.coalesce(_col(c).cast("string"), F.lit("")))
+
+
 def scrub_null_text(c: Column | str) -> Column:
     """Trim; null and the word ``nan`` in any case become empty text."""
-    text = F.trim(F.coalesce(_col(c).cast("string"), F.lit("")))
+    return no_nan(trimmed(c))
+
+
+def no_nan(c: Column | str) -> Column:
+    text = _col(c)
     return F.when(F.lower(text) == "nan", F.lit("")).otherwise(text)

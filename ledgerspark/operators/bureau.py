@@ -18,7 +18,7 @@ from ..functions.numbers import MONEY, number, thousands, whole, zero_below
 from ..functions.dates import compact_date, not_before
 from ..functions.text import (
     account_key, canonical_id, collapse_spaces, contains_any, drop_spaces, plain_text, prefix,
-    scrub_null_text, space_pad, zero_pad,
+    no_nan, space_pad, trimmed, zero_pad,
 )
 from ..functions.validity import (
     DEFAULT_CITY, DEFAULT_DEPARTMENT, city_or_default, place_or_default, valid_email, valid_phone,
@@ -337,8 +337,10 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
     )
 
     numeric = {*names.amounts(), names.actual_value_paid}
-    scrubbed = {c: scrub_null_text(c) for c in columns if c not in numeric}
-    clean = checked.withColumns(scrubbed)
+    texts = [c for c in columns if c not in numeric]
+    # Two steps, so that the trimmed text is not computed twice for every field.
+    clean = checked.withColumns({c: trimmed(c) for c in texts}).withColumns(
+        {c: no_nan(c) for c in texts})
     padded = clean.withColumns(
         {c: space_pad(c, w) for c, w in names.widths().items()}
         | {names.arrears_age: zero_pad(names.arrears_age, 2),

@@ -16,6 +16,8 @@ Layout = Sequence[tuple[str, int, int]]
 # to this many files; beyond it the trailers are joined like any table.
 MAX_BROADCAST_FILES = 100_000
 
+_STRETCH = 7
+
 # Bytes 0x80-0x9F that Windows-1252 defines, as ISO-8859-1 reads them and as they are meant.
 _BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 _AS_READ = "".join(chr(b) for b in _BYTES)
@@ -28,12 +30,26 @@ def from_windows_1252(c: Column | str) -> Column:
 
 
 def parse_fields(lines: DataFrame, layout: Layout, *, line: str = "line") -> DataFrame:
-    """Cuts every field out of ``line`` in one projection: trimmed text, null when missing."""
-    def cut(start: int, end: int) -> Column:
-        text = F.trim(F.substring(line, start + 1, end - start))
-        return F.when((text != "") & ~text.isin(NULL_TEXTS), text)
+    """Cuts every field out of ``line``: trimmed text, null when missing.
 
-    return lines.select(*[cut(start, end).alias(name) for name, start, end in layout])
+    Finding a place in text counts its characters from the left, so the line is first cut
+    into stretches of a few fields and each field is found within its stretch.
+    """
+    by_place = sorted(layout, key=lambda field: field[1])
+    stretches = [by_place[i:i + _STRETCH] for i in range(0, len(by_place), _STRETCH)]
+    pieces = lines.select(*[
+        F.substring(line, s[0][1] + 1, s[-1][2] - s[0][1]).alias(f"_{i}")
+        for i, s in enumerate(stretches)
+    ])
+    cuts = {
+        name: F.trim(F.substring(f"_{i}", start - s[0][1] + 1, end - start))
+        for i, s in enumerate(stretches) for name, start, end in s
+    }
+    cut = pieces.select(*[cuts[name].alias(name) for name, _, _ in layout])
+    missing = ["", *NULL_TEXTS]
+    return cut.select(*[
+        F.when(~F.col(name).isin(missing), F.col(name)).alias(name) for name, _, _ in layout
+    ])
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
