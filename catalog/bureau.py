@@ -9,6 +9,7 @@ from ledgerspark.functions.text import space_pad, zero_pad
 from ledgerspark.operators import bureau
 from ledgerspark.operators.keyed import lookup
 from ledgerspark.schemas import LAYOUT_A, LAYOUT_B
+from ledgerspark.session import written
 from ledgerspark.sources.fixed_width import parse_fields, to_lines
 
 from .extracts import LINES, ORDERS, lines, orders
@@ -90,11 +91,11 @@ def _clients(spark: SparkSession, d: str) -> DataFrame:
 
 
 def record_lines(spark: SparkSession, d: str, layout, fields: dict[str, str]) -> DataFrame:
-    """One line per order."""
+    """One line per order, written out as the record file would be."""
     raw = _clients(spark, d).select(*[
         F.expr(_COMMON[fields.get(name, "blank")][0]).cast("string").alias(name)
         for name, _, _ in layout])
-    return to_lines(raw, layout)
+    return written(to_lines(raw, layout))
 
 
 def corrections(spark: SparkSession, d: str) -> bureau.Corrections:

@@ -9,13 +9,13 @@ from .text import _col
 
 MONEY = "decimal(18,2)"
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+NUMBER_FORM = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _numeric_text(c: Column | str) -> Column:
     # The guard keeps out spellings such as '1d', which a Java parser accepts.
     text = _col(c).cast("string")
-    return F.when(text.rlike(_NUMBER), F.trim(text))
+    return F.when(text.rlike(NUMBER_FORM), F.trim(text))
 
 
 def number(c: Column | str) -> Column:
@@ -28,11 +28,8 @@ def money(c: Column | str) -> Column:
 
 def whole(c: Column | str) -> Column:
     """Integer part: digits are read exactly, other spellings are cut toward zero."""
-    text = _numeric_text(c)
-    plain = text.rlike(r"^[+-]?[0-9]+$")
-    return F.when(plain, text.try_cast("bigint")).otherwise(
-        text.try_cast("double").try_cast("bigint")
-    )
+    text = _col(c).cast("string")
+    return F.coalesce(text.try_cast("bigint"), number(text).try_cast("bigint"))
 
 
 def code_text(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from ..functions.numbers import MONEY, number, thousands, whole, zero_below
+from ..functions.numbers import MONEY, NUMBER_FORM, number, thousands, whole, zero_below
 from ..functions.dates import compact_date, not_before
 from ..functions.text import (
     account_key, canonical_id, collapse_spaces, contains_any, drop_spaces, plain_text, prefix,
@@ -287,9 +287,9 @@ B_ACCOUNT_WIDTH = 20
 
 def split_by_id(records: DataFrame, id_column: str = B.id_number) -> tuple[DataFrame, DataFrame]:
     """Records with a numeric identifier, written without leading zeros, and the rejects."""
-    digits = whole(id_column).cast("string")
-    good = records.where(digits.isNotNull()).withColumn(id_column, digits)
-    return good, records.where(digits.isNull())
+    numeric = F.coalesce(F.col(id_column).rlike(NUMBER_FORM), F.lit(False))
+    good = records.where(numeric).withColumn(id_column, whole(id_column).cast("string"))
+    return good, records.where(~numeric)
 
 
 def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns = B) -> DataFrame:
