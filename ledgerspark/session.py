@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,11 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where that is unset (tests, one machine) a fresh temporary folder is used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
 def written(df: DataFrame) -> DataFrame:

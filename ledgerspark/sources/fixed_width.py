@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import zero_pad
 from ..schemas import NULL_TEXTS
 
 Layout = Sequence[tuple[str, int, int]]
@@ -42,13 +41,13 @@ def parse_fields(lines: DataFrame, layout: Layout, *, line: str = "line") -> Dat
         for i, s in enumerate(stretches)
     ])
     cuts = {
-        name: F.trim(F.substring(f"_{i}", start - s[0][1] + 1, end - start))
+        name: f"trim(substring(_{i}, {start - s[0][1] + 1}, {end - start})) AS `{name}`"
         for i, s in enumerate(stretches) for name, start, end in s
     }
-    cut = pieces.select(*[cuts[name].alias(name) for name, _, _ in layout])
-    missing = ["", *NULL_TEXTS]
-    return cut.select(*[
-        F.when(~F.col(name).isin(missing), F.col(name)).alias(name) for name, _, _ in layout
+    missing = ", ".join(f"'{text}'" for text in ["", *NULL_TEXTS])
+    return pieces.selectExpr(*[cuts[name] for name, _, _ in layout]).selectExpr(*[
+        f"CASE WHEN `{name}` NOT IN ({missing}) THEN `{name}` END AS `{name}`"
+        for name, _, _ in layout
     ])
 
 
@@ -86,12 +85,7 @@ def to_lines(records: DataFrame, layout: Layout) -> DataFrame:
     """Records as text lines with every field at its place, cut to its width."""
     parts, at = [], 0
     for name, start, end in sorted(layout, key=lambda field: field[1]):
-        parts.append(F.lit(" " * (start - at)))
-        parts.append(F.rpad(F.coalesce(F.col(name).cast("string"), F.lit("")), end - start, " "))
+        parts.append(f"'{' ' * (start - at)}'")
+        parts.append(f"rpad(coalesce(string(`{name}`), ''), {end - start}, ' ')")
         at = end
-    return records.select(F.concat(*parts).alias("line"))
-
-
-def whole_number_field(c: Column | str, width: int) -> Column:
-    """A number as a zero-padded field."""
-    return zero_pad(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("bigint"), F.lit(0)), width)
+    return records.selectExpr(f"concat({', '.join(parts)}) AS line")
