@@ -213,7 +213,7 @@ def _final_a() -> str:
         "FECHA DE PAGO": "CASE WHEN r_paid_on = '00000000' THEN '00000000' ELSE r_paid_on END",
         "VALOR INICIAL": _floor_a("coalesce(apertura, CAST(r_price AS BIGINT))"),
         "VALOR SALDO DEUDA": _floor_a("r_fee"), "V CUOTA MENSUAL": _floor_a("r_fee"),
-        "VALOR SALDO MORA": _floor_a("r_arrears"), "VALOR DISPONIBLE": "0",
+        "VALOR SALDO MORA": _floor_a("r_arrears"), "VALOR DISPONIBLE": "CAST(0 AS BIGINT)",
         "RESPONSABLE": "'00'", "NOVEDAD": _zeros("r_month", 2), "TOTAL CUOTAS": _zeros("r_month", 3),
         "CUOTAS CANCELADAS": _zeros("r_month", 3), "CUOTAS EN MORA": "'000'",
         "EDAD DE MORA": _zeros("r_month", 3), "ESTADO DE LA CUENTA": _zeros("r_month", 2),

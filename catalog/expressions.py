@@ -282,7 +282,7 @@ def q_date_parsing(spark: SparkSession, d: str) -> DataFrame:
     return shown(table(spark, d, "orders").select(
         "o_orderkey", dates.date_text("o_orderdate").alias("dia"),
         dates.parse_date(raw).alias("leida"),
-        dates.day_gap(F.to_date("o_orderdate"), as_of).alias("distancia"),
+        dates.day_gap(F.to_date("o_orderdate"), as_of).cast("bigint").alias("distancia"),
         dates.same_month("o_orderdate", as_of).alias("mismo_mes")))
 
 

@@ -255,7 +255,7 @@ def q_collections_cash(spark: SparkSession, d: str) -> DataFrame:
 @query("payment_dedupe", """
 SELECT DISTINCT o_custkey, year(o_orderdate) AS anio, o_orderstatus FROM orders""")
 def q_payment_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("anio"),
+    rows = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").cast("bigint").alias("anio"),
                                             "o_orderstatus")
     return rows.distinct()
 

@@ -42,7 +42,7 @@ def match_accounts(online: DataFrame, lender_a: DataFrame, lender_b: DataFrame)
         hot_keys(left, ["CEDULA"]),
     )
     return joined.withColumns({
-        c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in ("CUENTAS_FS", "CUENTAS_ARP")
+        c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("CUENTAS_FS", "CUENTAS_ARP")
     })
 
 

@@ -27,7 +27,7 @@ def client_accounts(lender_a: DataFrame, lender_b: DataFrame, *, order: Sequence
     rank = F.struct(*order)
 
     def count(which: Column) -> Column:
-        return F.count(F.when(which, 1)).cast("int")
+        return F.count(F.when(which, 1))
 
     grouped = both.groupBy("CEDULA").agg(
         count(is_b).alias("CANTIDAD CUENTAS FS"),
@@ -110,7 +110,7 @@ def resolve_portfolio(
         [client],
         hot_keys(distinct, [client]),
     )
-    none = F.lit(0)
+    none = F.lit(0).cast("bigint")
     return joined.withColumns({
         "CANTIDAD CUENTAS FS": F.coalesce("CANTIDAD CUENTAS FS", none),
         "CANTIDAD CUENTAS ARP": F.coalesce("CANTIDAD CUENTAS ARP", none),
