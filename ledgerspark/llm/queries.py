@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import decontamination, language_id, line_dedup, packing, token_files, toxicity
+from ledgerspark.llm import decontamination, jaccard_join, language_id, line_dedup, packing, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 4096, end_id=1)
 
@@ -49,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op4_token_files": op4_token_files,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
