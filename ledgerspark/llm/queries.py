@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerspark.llm import decontamination, jaccard_join, language_id, line_dedup, packing, substring_dedup, token_files, toxicity
+from ledgerspark.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, nearest, packing, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
@@ -41,6 +46,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 4096, end_id=1)
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,11 +66,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
+    "op3_license_scan": op3_license_scan,
     "op4_token_files": op4_token_files,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
-SQL: dict[str, str] = {"op9_line_dedup": line_dedup.LINE_DEDUP_SQL}
+SQL: dict[str, str] = {"op3_license_scan": license_scan.LICENSE_SQL, "op9_line_dedup": line_dedup.LINE_DEDUP_SQL}
