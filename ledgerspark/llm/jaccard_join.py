@@ -7,8 +7,8 @@ counted in each of a few wide fragments by itself, and the counts are summed per
 
 Documents with the same set are one node from the start. In a group of nodes that share a
 fragment, every node is first compared with one pivot only; after that, only nodes that are not
-yet connected are. So copies never meet in pairs, and no link that could join two components
-goes unchecked.
+yet connected are, and of those only pairs that what they share with the pivot allows to link. So
+copies never meet in pairs, and no link that could join two components goes unchecked.
 """
 
 from __future__ import annotations
@@ -204,8 +204,8 @@ def shared_fragments(docs: DataFrame, size: int, percent: int, text_col: str) ->
     return rows.repartition("deal").sortWithinPartitions("deal", "node").mapInArrow(meet, "key long, node long")
 
 
-def overlaps(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """``a, b, overlap``: partial overlaps per wide fragment, summed per pair."""
+def side_by_side(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """``a, b, part, in_a, in_b``: the runs of both sets of a pair in each wide fragment that b has."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, text_col):
@@ -228,7 +228,12 @@ def overlaps(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, i
     def of(side: str) -> DataFrame:
         return wide(side).select("node", text_col).mapInArrow(cut, "node long, part int, found array<long>").select(F.col("node").alias(side), "part", F.col("found").alias(f"in_{side}"))
 
-    met = pairs.select("a", "b").join(of("b"), "b").join(of("a"), ["a", "part"])
+    both = pairs.select("a", "b").join(of("b"), "b").join(of("a"), ["a", "part"], "left")
+    return both.withColumn("in_a", F.coalesce("in_a", F.array().cast("array<long>")))
+
+
+def overlaps(met: DataFrame) -> DataFrame:
+    """``a, b, overlap``: counted in each wide fragment by itself, then summed per pair."""
     partial = met.groupBy("a", "b", "part").agg(F.max(F.size(F.array_intersect("in_a", "in_b"))).cast("long").alias("n"))  # repeated rows count once
     return partial.groupBy("a", "b").agg(F.sum("n").alias("overlap"))
 
@@ -241,44 +246,65 @@ def linked(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", tex
         F.when((F.min("proof") != F.max("proof")) | (F.min("n") != F.max("n")), F.raise_error(F.lit("two sets have one number"))).alias("_"),
     ).drop("_"))
     shared = written(shared_fragments(docs.where(F.col(id_col).isNotNull()), size, percent, text_col))
-    links = roots = checked = None
-
-    def check(candidates: DataFrame) -> DataFrame:
-        """Links among the pairs by exact overlap."""
-        sizes = classes.select("node", "n")
-        pairs = written(candidates)
-        counted = overlaps(docs, classes, pairs, size, id_col, text_col)
-        counted = counted.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        return written(counted.where(F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b"))
-
-    for step in ("least", "greatest", "all"):
-        if roots is None:
-            members = shared.withColumn("root", F.col("node"))
-        else:
-            members = written(shared.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-            open_keys = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-            members = members.join(open_keys, "key")
-        members = written(members) if step == "all" else members
-        left = members.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-        right = members.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-        if step != "all":
-            pick = F.min(F.struct("a", "ra")) if step == "least" else F.max(F.struct("a", "ra"))
-            left = left.groupBy("key").agg(pick.alias("p")).select("key", "p.a", "p.ra")
-        pairs = left.join(right, "key").where("ra <> rb" if step != "all" else "ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            continue
-        found = check(pairs)
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-    if roots is None:
-        roots = classes.select("node", F.col("node").alias("root")).limit(0)
+    sizes = classes.select("node", "n")
+
+    def met(pairs: DataFrame) -> DataFrame:
+        return side_by_side(docs, classes, pairs, size, id_col, text_col)
+
+    def counted(pairs: DataFrame) -> DataFrame:
+        """The pairs with sizes and exact overlap; ``linked`` says whether they reach the threshold."""
+        found = pairs.join(overlaps(met(pairs)), ["a", "b"], "left").fillna(0, "overlap")
+        found = found.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+        return written(found.withColumn("linked", F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("overlap"))))
+
+    # Everyone in a group is compared with the node that shares the most fragments: in a family of
+    # edited copies that is their original, whose fragments all occur again somewhere.
+    degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    pivots = shared.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p")).select("key", F.col("p.node").alias("a"))
+    members = written(shared.join(pivots, "key").where("node <> a").select("key", "a", F.col("node").alias("b")))
+    if members.isEmpty():
+        return rows, classes.select("node", "doc_id", F.col("node").alias("root"))
+    stars = counted(written(members.select("a", "b").distinct()))
+    links = stars.where("linked").select("a", "b")
+    roots = components(links)
+    more = written(_open_pairs(members, stars, roots, met, percent))
+    if not more.isEmpty():
+        roots = components(links.unionByName(counted(more).where("linked").select("a", "b")))
     return rows, classes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
 
 
+def _open_pairs(members: DataFrame, stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFrame:
+    """All pairs of a group, neither of them its pivot, that may link and are not connected yet.
+
+    What a node has in common with its pivot is known. Two nodes that have half of their runs
+    from the same pivot or more can only link if they have enough runs in common from it, or
+    share a run that the pivot lacks; by the prefix principle one of the first such runs. The
+    other pairs of a group, those with a node that has less from the pivot, are compared.
+    """
+    named = roots.select(F.col("node").alias("b"), "root")
+    known = stars.join(named, "b", "left").select("a", "b", "overlap", F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"), (F.col("overlap") * 2 < F.col("nb")).alias("weak"))
+    # Groups around a pivot in which everyone is connected need nothing more.
+    open_stars = known.groupBy("a").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("a")
+    known = written(known.join(open_stars, "a"))
+
+    def two(left: DataFrame, right: DataFrame, on: list[str], and_also: str) -> DataFrame:
+        x, y = (d.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in ("b", "root", "n", "overlap")]) for d, s in ((left, "x"), (right, "y")))
+        near = f"x_root <> y_root AND {percent} * x_n <= 100 * y_n AND {percent} * y_n <= 100 * x_n"
+        return x.join(y, on).where(f"{near} AND {and_also}").select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b"))
+
+    placed = members.join(known, ["a", "b"])
+    compared = two(placed.where("weak"), placed, ["key"], "true")
+    strong = known.where("NOT weak")
+    enough = f"{100 + percent} * least(x_overlap, y_overlap) >= {percent} * (x_n + y_n)"
+    likely = strong.where(f"100 * overlap >= {percent} * n")
+    from_pivot = two(likely, likely, ["a"], f"{enough} AND x_n <= y_n")
+    reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_n - x_overlap, y_n - y_overlap)) >= {percent} * (x_n + y_n)"
+    first = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
+    beside = met(written(strong.select("a", "b"))).join(strong, ["a", "b"]).select("a", "b", "root", "n", "overlap", F.explode(F.slice(F.array_except("in_b", "in_a"), F.lit(1), first)).alias("run"))
+    gained = two(beside, beside, ["a", "run"], f"{reachable} AND x_b < y_b")
+    return compared.unionByName(from_pivot).unionByName(gained).distinct()
+
+
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
