@@ -288,20 +288,28 @@ def _open_pairs(members: DataFrame, stars: DataFrame, roots: DataFrame, met, per
     known = written(known.join(open_stars, "a"))
 
     def two(left: DataFrame, right: DataFrame, on: list[str], and_also: str) -> DataFrame:
-        x, y = (d.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in ("b", "root", "n", "overlap")]) for d, s in ((left, "x"), (right, "y")))
+        x, y = (d.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in d.columns if c not in on]) for d, s in ((left, "x"), (right, "y")))
         near = f"x_root <> y_root AND {percent} * x_n <= 100 * y_n AND {percent} * y_n <= 100 * x_n"
         return x.join(y, on).where(f"{near} AND {and_also}").select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b"))
 
-    placed = members.join(known, ["a", "b"])
+    placed = members.join(known, ["a", "b"]).select("key", "b", "root", "n", "weak")
     compared = two(placed.where("weak"), placed, ["key"], "true")
-    strong = known.where("NOT weak")
+    # Nodes of one family meet around many pivots. What one pivot rules out is ruled out, so a
+    # pair is looked at around the largest star of both, if that is the same one.
+    strong = known.where("NOT weak").drop("weak")
+    star = strong.groupBy("a").agg(F.count(F.lit(1)).alias("star"))
+    main = strong.join(star, "a").groupBy("b").agg(F.max(F.struct("star", "a")).alias("m")).select("b", F.col("m.a").alias("main"))
+    strong = strong.join(main, "b")
+    mixed = strong.groupBy("a").agg(F.min("main").alias("x"), F.max("main").alias("y")).where("x <> y OR x = a").select("a")
+    strong = written(strong.join(mixed, "a"))
+    apart = "(x_main <> y_main OR x_main = a)"
     enough = f"{100 + percent} * least(x_overlap, y_overlap) >= {percent} * (x_n + y_n)"
     likely = strong.where(f"100 * overlap >= {percent} * n")
-    from_pivot = two(likely, likely, ["a"], f"{enough} AND x_n <= y_n")
+    from_pivot = two(likely, likely, ["a"], f"{apart} AND {enough} AND x_n <= y_n")
     reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_n - x_overlap, y_n - y_overlap)) >= {percent} * (x_n + y_n)"
     first = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    beside = met(written(strong.select("a", "b"))).join(strong, ["a", "b"]).select("a", "b", "root", "n", "overlap", F.explode(F.slice(F.array_except("in_b", "in_a"), F.lit(1), first)).alias("run"))
-    gained = two(beside, beside, ["a", "run"], f"{reachable} AND x_b < y_b")
+    beside = met(written(strong.select("a", "b"))).join(strong, ["a", "b"]).select("a", "b", "root", "n", "overlap", "main", F.explode(F.slice(F.array_except("in_b", "in_a"), F.lit(1), first)).alias("run"))
+    gained = two(beside, beside, ["a", "run"], f"{apart} AND {reachable} AND x_b < y_b")
     return compared.unionByName(from_pivot).unionByName(gained).distinct()
 
 
