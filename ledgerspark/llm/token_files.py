@@ -51,7 +51,7 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 class FrameWriter:
     def __init__(self, stream):
         self.stream, self.entries, self.waiting, self.size = stream, [], [], 0
-        self.packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
+        self.packer = zstandard.ZstdCompressor(level=1)
 
     def add(self, ids: bytes) -> None:
         self.waiting.append(ids)
