@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.hashing import PUNCTUATION, row_of, slices, utf8, word_hashes
+from ledgerspark.session import written
 
 #: Hashed features: 2 ** BITS weights of 4 bytes, which is all that is broadcast.
 BITS = 20
@@ -64,35 +65,28 @@ class Model:
         return sigmoid(row_sums(self.weights[found], starts) + self.bias)
 
 
-def fit(found: np.ndarray, starts: np.ndarray, positive: np.ndarray, prior: float) -> Model:
-    """AdaGrad on the non-negative risk with logistic loss.
+def fit(found: np.ndarray, starts: np.ndarray, positive: np.ndarray, prior: float, kept: np.ndarray) -> Model:
+    """AdaGrad on the non-negative risk with logistic loss, over the features ``kept``.
 
-    Without positives every score is near zero, without unlabelled texts near the prior.
+    ``found`` numbers a text's features by their place in ``kept``. Without positives every score
+    is near zero, without unlabelled texts near the prior.
     """
-    weights = np.zeros(1 << BITS)
+    weights = np.zeros(1 << BITS, np.float32)
     bias, bias_square = float(np.log(prior / (1 - prior))), 1e-4
-    p_rows, u_rows = np.flatnonzero(positive), np.flatnonzero(~positive)
-    if not len(p_rows):
-        return Model(weights.astype(np.float32), -10.0)
-    if not len(u_rows):
-        return Model(weights.astype(np.float32), bias)
+    n_p, n_u = int(positive.sum()), int((~positive).sum())
+    if not n_p:
+        return Model(weights, -10.0)
+    if not n_u:
+        return Model(weights, bias)
     owners = row_of(starts)
-    in_p, in_u = (np.bincount(found[positive[owners] == side], minlength=1 << BITS) for side in (True, False))
-    share = (in_p + in_u + 1) / (len(positive) + 2)
-    error = np.sqrt(share * (1 - share) * (1 / len(p_rows) + 1 / len(u_rows)))
-    kept = np.flatnonzero((np.abs(in_p / len(p_rows) - in_u / len(u_rows)) >= max(CLEAR, EFFECT * len(p_rows) ** 0.5) * error) & (in_p >= max(3, SHARE * len(p_rows))))
-    place = np.full(1 << BITS, -1)
-    place[kept] = np.arange(len(kept))
-    found = place[found]
-    owners, found = owners[found >= 0], found[found >= 0]
     w, squares = np.zeros(len(kept)), np.full(len(kept), 1e-4)
     for _ in range(STEPS):  # over the whole sample: in small batches the clamp sets in by chance
         score = sigmoid(np.bincount(owners, w[found], len(positive)) + bias)
         sp, su = score[positive], score[~positive]
         as_clean = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
         clean, toxic = np.empty(len(positive)), np.zeros(len(positive))
-        clean[positive], clean[~positive] = -prior * sp / len(p_rows), su / len(u_rows)
-        toxic[positive] = prior * (sp - 1) / len(p_rows)
+        clean[positive], clean[~positive] = -prior * sp / n_p, su / n_u
+        toxic[positive] = prior * (sp - 1) / n_p
         slope = toxic + clean if as_clean >= 0 else -clean
         step = np.bincount(found, slope[owners], len(w)) + DECAY * w
         squares += step ** 2
@@ -100,7 +94,30 @@ def fit(found: np.ndarray, starts: np.ndarray, positive: np.ndarray, prior: floa
         bias_square += slope.sum() ** 2
         bias -= RATE * slope.sum() / np.sqrt(bias_square)
     weights[kept] = w
-    return Model(weights.astype(np.float32), float(bias))
+    return Model(weights, float(bias))
+
+
+def telling(sample: DataFrame, text: str) -> np.ndarray:
+    """Features that tell the two samples apart, by counts merged per task first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            for rows in slices(batch, text):
+                found, starts = features(rows, text)
+                side = np.array(rows.column("positive"), bool)[row_of(starts)]
+                for k in (0, 1):
+                    counts[k] += np.bincount(found[side == bool(k)], minlength=1 << BITS)
+        seen = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[1][seen]), pa.array(counts[0][seen])], ["feature", "p", "u"])
+
+    sizes = sample.groupBy("positive").count().collect()
+    n_p, n_u = (max(1, sum(r["count"] for r in sizes if r["positive"] is side)) for side in (True, False))
+    counted = sample.select("positive", text).mapInArrow(run, "feature int, p long, u long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    share = (F.col("p") + F.col("u") + 1) / (n_p + n_u + 2)
+    error = F.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    clear = F.abs(F.col("p") / n_p - F.col("u") / n_u) >= max(CLEAR, EFFECT * n_p ** 0.5) * error
+    # At most as many as texts can have: each is in a share of the confirmed ones.
+    return np.array(sorted(r[0] for r in counted.where(clear & (F.col("p") >= max(3, SHARE * n_p))).select("feature").collect()), np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
@@ -118,18 +135,22 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, id_col: str = "do
     known = marked.where("toxic = 1").orderBy(order, id_col).limit(positives).select(id_col, F.lit(True).alias("positive"))
     # Drawn from all texts, the confirmed ones too: the risk takes it for the whole mixture.
     others = docs.select(id_col).where(usable).distinct().orderBy(order, id_col).limit(unlabelled).select(id_col, F.lit(False).alias("positive"))
-    sample = docs.select(id_col, text_col).join(F.broadcast(known.unionByName(others)), id_col)  # bounded by the two limits
+    sample = written(docs.select(id_col, text_col).join(F.broadcast(known.unionByName(others)), id_col))  # bounded by the two limits
+    kept = telling(sample, text_col)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, text_col):
                 found, starts = features(rows, text_col)
-                yield pa.RecordBatch.from_arrays([rows.column("positive"), rows.column(id_col).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(found, pa.int32()))], ["positive", "id", "found"])
+                at = np.minimum(np.searchsorted(kept, found), max(len(kept) - 1, 0))
+                known = kept[at] == found if len(kept) else np.zeros(len(found), bool)
+                begins = np.concatenate([[0], np.cumsum(known)])[starts]
+                yield pa.RecordBatch.from_arrays([rows.column("positive"), rows.column(id_col).cast(pa.int64()), pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(at[known], pa.int32()))], ["positive", "id", "found"])
 
-    got = sample.mapInArrow(extract, "positive boolean, id long, found array<int>").toArrow().sort_by("id").combine_chunks()
+    got = sample.mapInArrow(extract, "positive boolean, id long, found array<int>").toArrow().sort_by([("id", "ascending"), ("positive", "ascending")]).combine_chunks()
     lists = got["found"].combine_chunks()
     sizes = np.array(lists.value_lengths(), np.int64)
-    return fit(np.array(lists.flatten(), np.int64), np.concatenate([[0], np.cumsum(sizes)]), np.array(got["positive"], bool), prior)
+    return fit(np.array(lists.flatten(), np.int64), np.concatenate([[0], np.cumsum(sizes)]), np.array(got["positive"], bool), prior, kept)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
