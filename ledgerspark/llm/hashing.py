@@ -10,8 +10,8 @@ import pyarrow as pa
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Bytes hashed at a time; a batch is cut between rows near the second figure.
-CHUNK = 1 << 20
-SLICE = 4 << 20
+CHUNK = 1 << 18
+SLICE = 1 << 20
 
 #: Separators of a word: blank, tab to carriage return.
 BLANKS = np.zeros(256, bool)
