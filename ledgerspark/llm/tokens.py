@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 
 #: Pieces kept per Python worker and kind of tokenizer.
-CACHE = 500_000
+CACHE = 350_000
 #: Stands between the pieces of a text that is encoded to learn them; never part of a piece.
 MARK = "\x01"
 
