@@ -261,56 +261,56 @@ def linked(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", tex
     # edited copies that is their original, whose fragments all occur again somewhere.
     degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     pivots = shared.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p")).select("key", F.col("p.node").alias("a"))
-    members = written(shared.join(pivots, "key").where("node <> a").select("key", "a", F.col("node").alias("b")))
+    members = written(shared.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
     if members.isEmpty():
         return rows, classes.select("node", "doc_id", F.col("node").alias("root"))
-    stars = counted(written(members.select("a", "b").distinct()))
-    links = stars.where("linked").select("a", "b")
-    roots = components(links)
-    more = written(_open_pairs(members, stars, roots, met, percent))
+    stars = counted(members)
+    roots = components(stars.where("linked").select("a", "b"))
+    more = written(_open_pairs(stars, roots, met, percent))
     if not more.isEmpty():
+        links = stars.where("linked").select("a", "b")
         roots = components(links.unionByName(counted(more).where("linked").select("a", "b")))
     return rows, classes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
 
 
-def _open_pairs(members: DataFrame, stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFrame:
-    """All pairs of a group, neither of them its pivot, that may link and are not connected yet.
+def _open_pairs(stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFrame:
+    """All pairs around a pivot, neither of them the pivot, that may link and are not connected yet.
 
-    What a node has in common with its pivot is known. Two nodes that have half of their runs
-    from the same pivot or more can only link if they have enough runs in common from it, or
-    share a run that the pivot lacks; by the prefix principle one of the first such runs. The
-    other pairs of a group, those with a node that has less from the pivot, are compared.
+    What a node has in common with its pivot is known. Two nodes can only link if they have
+    enough runs in common from the pivot alone, or share a run that the pivot lacks; by the
+    prefix principle one of the first such runs. A phrase that many texts share is in the pivot
+    of the group that it makes, so it is none of those.
     """
     named = roots.select(F.col("node").alias("b"), "root")
-    known = stars.join(named, "b", "left").select("a", "b", "overlap", F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"), (F.col("overlap") * 2 < F.col("nb")).alias("weak"))
+    known = stars.join(named, "b", "left").select("a", "b", "overlap", F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"))
     # Groups around a pivot in which everyone is connected need nothing more.
     open_stars = known.groupBy("a").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("a")
     known = written(known.join(open_stars, "a"))
 
-    def two(left: DataFrame, right: DataFrame, on: list[str], and_also: str) -> DataFrame:
-        x, y = (d.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in d.columns if c not in on]) for d, s in ((left, "x"), (right, "y")))
-        near = f"x_root <> y_root AND {percent} * x_n <= 100 * y_n AND {percent} * y_n <= 100 * x_n"
-        return x.join(y, on).where(f"{near} AND {and_also}").select(F.least("x_b", "y_b").alias("a"), F.greatest("x_b", "y_b").alias("b"))
+    def two(rows: DataFrame, on: list[str], and_also: str) -> DataFrame:
+        x, y = (rows.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in rows.columns if c not in on]) for s in "xy")
+        near = f"x_root <> y_root AND {percent} * x_n <= 100 * y_n AND {percent} * y_n <= 100 * x_n AND x_b < y_b"
+        return x.join(y, on).where(f"{near} AND (x_main <> y_main OR x_main = a) AND {and_also}")
 
-    placed = members.join(known, ["a", "b"]).select("key", "b", "root", "n", "weak")
-    compared = two(placed.where("weak"), placed, ["key"], "true")
     # Nodes of one family meet around many pivots. What one pivot rules out is ruled out, so a
     # pair is looked at around the largest star of both, if that is the same one.
-    strong = known.where("NOT weak").drop("weak")
-    star = strong.groupBy("a").agg(F.count(F.lit(1)).alias("star"))
-    main = strong.join(star, "a").groupBy("b").agg(F.max(F.struct("star", "a")).alias("m")).select("b", F.col("m.a").alias("main"))
-    strong = strong.join(main, "b")
-    mixed = strong.groupBy("a").agg(F.min("main").alias("x"), F.max("main").alias("y")).where("x <> y OR x = a").select("a")
-    strong = written(strong.join(mixed, "a"))
-    apart = "(x_main <> y_main OR x_main = a)"
+    star = known.groupBy("a").agg(F.count(F.lit(1)).alias("star"))
+    main = known.join(star, "a").groupBy("b").agg(F.max(F.struct("star", "a")).alias("m")).select("b", F.col("m.a").alias("main"))
+    known = known.join(main, "b")
+    mixed = known.groupBy("a").agg(F.min("main").alias("x"), F.max("main").alias("y")).where("x <> y OR x = a").select("a")
+    known = written(known.join(mixed, "a"))
     enough = f"{100 + percent} * least(x_overlap, y_overlap) >= {percent} * (x_n + y_n)"
-    likely = strong.where(f"100 * overlap >= {percent} * n")
-    from_pivot = two(likely, likely, ["a"], f"{apart} AND {enough} AND x_n <= y_n")
+    likely = known.where(f"100 * overlap >= {percent} * n")
+    from_pivot = two(likely, ["a"], enough)
     reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_n - x_overlap, y_n - y_overlap)) >= {percent} * (x_n + y_n)"
     first = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    beside = met(written(strong.select("a", "b"))).join(strong, ["a", "b"]).select("a", "b", "root", "n", "overlap", "main", F.explode(F.slice(F.array_except("in_b", "in_a"), F.lit(1), first)).alias("run"))
-    gained = two(beside, beside, ["a", "run"], f"{apart} AND {reachable} AND x_b < y_b")
-    return compared.unionByName(from_pivot).unionByName(gained).distinct()
+    lacking = met(written(known.select("a", "b"))).groupBy("a", "b").agg(F.sort_array(F.flatten(F.collect_list(F.array_except("in_b", "in_a")))).alias("runs"))
+    beside = known.join(lacking, ["a", "b"]).withColumn("whole", F.size("runs") <= 3 * first)
+    beside = beside.withColumn("run", F.explode(F.when(F.col("whole"), F.col("runs")).otherwise(F.slice("runs", F.lit(1), first)))).drop("runs")
+    common = two(beside, ["a", "run"], reachable).groupBy("a", "x_b", "y_b").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x_overlap", "y_overlap")).alias("least"), F.min(F.col("x_n") + F.col("y_n")).alias("n"), F.min(F.col("x_whole") & F.col("y_whole")).alias("whole"))
+    # Where all runs beside the pivot were compared, their number is known.
+    gained = common.where(f"NOT whole OR {100 + percent} * (least + k) >= {percent} * n")
+    return from_pivot.select("x_b", "y_b").unionByName(gained.select("x_b", "y_b")).distinct().toDF("a", "b")
 
 
 def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -59,7 +59,7 @@ class Encoder:
             return None
         if self.drops_blanks:
             flat = text.replace("\n", " ")
-            return [p for p in flat.split(" ") if p] if flat.isprintable() else None
+            return (flat.lower() if flat.isascii() else flat).split() if flat.isprintable() else None
         if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
             return None
         if not text.replace("\n", "").isprintable():
