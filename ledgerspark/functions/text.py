@@ -41,7 +41,7 @@ def zero_pad(c: Column | str, width: int) -> Column:
     """
     text = _col(c).cast("string")
     signed = text.startswith("-") | text.startswith("+")
-    body = F.substring(text, 2, 1_000_000)
+    body = F.substr(text, F.lit(2))
     return F.when(
         signed, F.concat(F.left(text, F.lit(1)), _filled(body, width - 1))
     ).otherwise(_filled(text, width))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -26,9 +27,15 @@ def local_session(cpus: int = 8, name: str = "ledgerspark") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, one machine) a fresh temporary folder is used.
+    Only on a local master that does not set it (tests, one machine) a fresh temporary folder is
+    used; elsewhere executors would not see it, so that is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_folder()
 
 
 @cache

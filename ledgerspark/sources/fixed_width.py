@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import NULL_TEXTS
+from ..session import written
 
 Layout = Sequence[tuple[str, int, int]]
 
-# The driver already holds the list of input files, so one row per file may be broadcast up
-# to this many files; beyond it the trailers are joined like any table.
-MAX_BROADCAST_FILES = 100_000
-
 _STRETCH = 7
 
 # Bytes 0x80-0x9F that Windows-1252 defines, as ISO-8859-1 reads them and as they are meant.
@@ -54,10 +51,11 @@ def parse_fields(lines: DataFrame, layout: Layout, *, line: str = "line") -> Dat
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Body lines of record files: blank lines, each file's first and last line are gone.
 
-    The reader itself drops the header. The trailer is the last line of the split that ends
-    its file; only the lines of such splits are compared, by their place in the scan.
+    The reader itself drops the header. The lines are written once with the split they come from
+    and their place in it; a file's trailer is the last line of its last split that has any.
+    Both sides are read from there, so they agree however the scan was split.
     """
-    raw = (
+    raw = written(
         spark.read.schema("line string")
         .option("encoding", "ISO-8859-1").option("sep", "\u0001")
         .option("quote", "").option("escape", "").option("header", True)
@@ -65,14 +63,12 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         .select(
             "line",
             F.col("_metadata.file_path").alias("path"),
-            (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length")
-             >= F.col("_metadata.file_size")).alias("closing"),
+            F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("place"),
         )
     )
-    trailers = raw.where("closing").groupBy("path").agg(F.max("place").alias("place"))
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
-        trailers = F.broadcast(trailers)
+    last = raw.groupBy("path").agg(F.max(F.struct("split", "place")).alias("last"))
+    trailers = last.select("path", F.col("last.place").alias("place"))
     body = raw.join(trailers, ["path", "place"], "left_anti")
     return body.select(from_windows_1252("line").alias("line"))
 
@@ -82,10 +78,14 @@ def read_records(spark: SparkSession, path: str | Sequence[str], layout: Layout)
 
 
 def to_lines(records: DataFrame, layout: Layout) -> DataFrame:
-    """Records as text lines with every field at its place, cut to its width."""
+    """Records as text lines with every field at its place; a longer value is an error."""
     parts, at = [], 0
     for name, start, end in sorted(layout, key=lambda field: field[1]):
         parts.append(f"'{' ' * (start - at)}'")
-        parts.append(f"rpad(coalesce(string(`{name}`), ''), {end - start}, ' ')")
+        value, width = f"coalesce(string(`{name}`), '')", end - start
+        parts.append(
+            f"CASE WHEN length({value}) > {width} THEN "
+            f"string(raise_error('{name} is longer than {width}')) "
+            f"ELSE rpad({value}, {width}, ' ') END")
         at = end
     return records.selectExpr(f"concat({', '.join(parts)}) AS line")

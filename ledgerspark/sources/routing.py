@@ -50,7 +50,7 @@ def load_report(files: DataFrame, path: str = "path") -> DataFrame:
 
 def type_of_name(name: str, types: Sequence[str] = FILE_TYPES) -> str | None:
     """The same rule for one file name, used while a set of paths is sorted into scans."""
-    base = name.rsplit("/", 1)[-1].split(".")[0].upper().replace(" ", "_")
+    base = name.rstrip("/").rsplit("/", 1)[-1].split(".")[0].upper().replace(" ", "_")
     words = set(base.split("_"))
     for kind in sorted(types, key=len, reverse=True):
         key = kind.upper().replace(" ", "_")

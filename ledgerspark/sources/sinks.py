@@ -8,8 +8,14 @@ from collections.abc import Mapping
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import written
+
 
 def write_report(report: DataFrame, path: str, *, fmt: str = "parquet") -> None:
+    """Replaces the report at ``path`` once the new one is whole; an empty one is refused."""
+    report = written(report)
+    if report.isEmpty():
+        raise ValueError("the report has no rows; the previous one is kept")
     report.write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 

@@ -69,9 +69,13 @@ def fill_blanks(df: DataFrame, label: str, *, keep: Sequence[str] = ("Cedula_Cli
 
 def positional(df: DataFrame, table: Table, order: str) -> DataFrame:
     """Header-less table: names by position. ``order`` numbers the rows from 0."""
+    return by_position(df.where(F.col(order) >= table.skip_rows), table, order)
+
+
+def by_position(df: DataFrame, table: Table, order: str) -> DataFrame:
     names = [c for c in df.columns if c != order]
     picked = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(names, table.names())]
-    return df.where(F.col(order) >= table.skip_rows).select(*picked, order)
+    return df.select(*picked, order)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -154,7 +158,7 @@ def _tables_of(kind: str, path: str) -> list[tuple[str, str]]:
 def _shaped(raw: DataFrame, table: Table) -> DataFrame:
     if not table.positional:
         return conform(raw, table, extra=(ORDINAL,))
-    numbered = raw.withColumn("_row", F.col(f"{ORDINAL}.row"))
-    plain = positional(numbered.drop(ORDINAL), table, "_row")
-    return plain.withColumn(
-        ORDINAL, F.struct(F.lit("").alias("path"), F.col("_row").alias("row"))).drop("_row")
+    if table.skip_rows:  # counted over all part files of the sheet
+        first = raw.select(ORDINAL).orderBy(ORDINAL).limit(table.skip_rows)
+        raw = raw.join(F.broadcast(first), ORDINAL, "left_anti")
+    return by_position(raw, table, ORDINAL)

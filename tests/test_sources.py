@@ -186,3 +186,55 @@ def test_bureau_b_from_file(spark, tmp_path):
     assert r["fecha_terminacion"] == "20240101" and r["periodicidad"] == "05"
     assert r["ciudad_casa"].strip() == "POPAYAN" and r["numero_obligacion"] == "DF1C1".ljust(20)
     assert spark.read.parquet(out).where(F.length("correo_electronico") != 60).isEmpty()
+
+
+def test_trailer_is_found_however_the_file_is_split(spark, tmp_path):
+    lines = ["HEADER"] + [f"record {i:03d} text" for i in range(50)] + ["trailer as long as it is"]
+    path = tmp_path / "records.txt"
+    path.write_bytes(("\n".join(lines) + "\n").encode("cp1252"))
+    size, before = path.stat().st_size, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in (size - len(lines[-1]), size - 30, size - 2, size // 3, 40):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            got = {r["line"] for r in fixed_width.read_lines(spark, str(path)).collect()}
+            assert got == set(lines[1:-1])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_skipped_rows_are_counted_over_all_part_files(spark, tmp_path):
+    from ledgerspark.schemas import Table
+    from ledgerspark.sources import tables
+
+    folder = str(tmp_path / "sheet")
+    spark.range(40).selectExpr("cast(id AS string) AS a", "'x' AS b").repartition(4).write.parquet(folder)
+    table = Table((("", "cliente", "text"), ("", "prioridad", "text")), skip_rows=2, positional=True)
+    rows = tables._shaped(tables.with_file_order(spark.read.parquet(folder)), table).collect()
+    assert len(rows) == 38 and len({r["cliente"] for r in rows}) == 38
+
+
+def test_too_long_values_and_empty_reports_are_refused(spark, tmp_path):
+    from ledgerspark.sources import sinks
+
+    df = spark.createDataFrame([("ABCDEFGH",)], "code string")
+    with pytest.raises(Exception, match="longer"):
+        fixed_width.to_lines(df, [("code", 0, 3)]).collect()
+    path = str(tmp_path / "report")
+    sinks.write_report(df, path)
+    with pytest.raises(ValueError):
+        sinks.write_report(df.limit(0), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    from ledgerspark import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Session())
