@@ -122,16 +122,16 @@ SELECT doc_id, w,
        CASE WHEN regexp_matches(w, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}}$')
              AND NOT regexp_matches(upper(w), 'CORREGIR|PENDIENTE|NOTIENE|SINC|NN@|AAA@')
             THEN w ELSE '' END AS correo
-FROM palabras WHERE contains(w, '@')""")
+FROM palabras""")
 def q_validate_email(spark: SparkSession, d: str) -> DataFrame:
-    return _words(spark, d).where(F.col("w").contains("@")).select(
+    return _words(spark, d).select(
         "doc_id", "w", validity.valid_email("w").alias("correo"))
 
 
 @query("validate_phone", f"""
 WITH {_WORDS},
 numeros AS (
-  SELECT 'd' || doc_id AS id, w FROM palabras WHERE regexp_matches(w, '[0-9]')
+  SELECT 'd' || doc_id AS id, w FROM palabras
   UNION ALL
   SELECT 'o' || o_orderkey,
          CASE o_orderstatus WHEN 'P' THEN '3' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
@@ -143,8 +143,7 @@ SELECT id, w, CASE WHEN fijo OR movil THEN n ELSE '' END AS telefono,
 FROM (SELECT *, length(n) = 7 AS fijo, length(n) = 10 AND n LIKE '3%' AS movil
       FROM (SELECT *, regexp_replace(w, '[^0-9]', '', 'g') AS n FROM numeros))""")
 def q_validate_phone(spark: SparkSession, d: str) -> DataFrame:
-    words = _words(spark, d).where(F.col("w").rlike("[0-9]")).select(
-        F.concat(F.lit("d"), "doc_id").alias("id"), "w")
+    words = _words(spark, d).select(F.concat(F.lit("d"), "doc_id").alias("id"), "w")
     client = F.col("o_custkey").cast("string")
     made = (
         F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("3"), F.lpad(client, 9, "0")))

@@ -36,7 +36,7 @@ def payment_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     client = c.select(F.col("c_custkey").cast("string").alias("Cedula_Cliente"), "c_mktsegment",
                       "c_acctbal")
     lender_b, lender_a = _accounts(o, "F", "DF"), _accounts(o, "O", "FA")
-    received = o.where("o_orderstatus = 'P'")
+    received = o
     return {
         "AC FS": lender_b,
         "AC ARP": lender_a,
@@ -131,14 +131,14 @@ novedades AS (
 
 BANK_PAYMENTS = """
   SELECT o_orderkey AS no, dia AS fecha, o_orderpriority AS d1, o_orderstatus AS d2, cedula AS ref1,
-         cedula || '.5' AS ref2, valor FROM ord WHERE o_orderstatus = 'P'"""
+         cedula || '.5' AS ref2, valor FROM ord"""
 BANK_COLUMNS = "no, fecha, d1, d2, ref1, ref2, valor"
 BANK_SQL = portfolio_sql(BANK_PAYMENTS, "ref1", BANK_COLUMNS)
 
 CASH_PAYMENTS = """
   SELECT DISTINCT year(dia) AS no, cedula AS ident,
          CAST(floor(valor / 100000) * 100000 AS DECIMAL(18,2)) AS valor, o_orderstatus AS aut,
-         date_trunc('year', dia) AS fecha FROM ord WHERE o_orderstatus = 'P'"""
+         date_trunc('year', dia) AS fecha FROM ord"""
 CASH_COLUMNS = "no, ident, valor, aut, fecha"
 CASH_SQL = portfolio_sql(CASH_PAYMENTS.replace("DISTINCT ", ""), "ident", CASH_COLUMNS)
 
@@ -314,7 +314,7 @@ def advance_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             F.col("SALDO").alias(f"ULTIMO_SALDO_{end}"))
 
     return {
-        "ONLINE": o.where("o_orderstatus = 'P'").select(
+        "ONLINE": o.select(
             F.col("o_orderpriority").alias("TIPO_RECIBO"), F.col("o_orderkey").alias("No"),
             F.concat(F.lit(" "), "Cedula_Cliente").alias("CEDULA"),
             F.col("Credito").alias("NOMBRE"), (-F.col("valor")).alias("VALOR")),
@@ -336,8 +336,7 @@ cruce AS (
          fs.factura AS f_fs, fs.saldo AS s_fs, fs.centro AS c_fs,
          arp.factura AS f_arp, arp.saldo AS s_arp, arp.centro AS c_arp,
          coalesce(fs.saldo - o.valor, arp.saldo - o.valor) AS resta
-  FROM ord o LEFT JOIN fs ON fs.cedula = o.cedula LEFT JOIN arp ON arp.cedula = o.cedula
-  WHERE o_orderstatus = 'P'),
+  FROM ord o LEFT JOIN fs ON fs.cedula = o.cedula LEFT JOIN arp ON arp.cedula = o.cedula),
 anticipos AS (
   SELECT * REPLACE (CASE WHEN obs = 'REVISAR TIENE 2 CARTERAS' THEN 'MAS DE UNA CARTERA' ELSE f_fs END AS f_fs,
                     CASE WHEN obs = 'REVISAR TIENE 2 CARTERAS' THEN 'MAS DE UNA CARTERA' ELSE f_arp END AS f_arp)
