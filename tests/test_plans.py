@@ -30,7 +30,7 @@ def test_summary_reads_only_its_columns_and_shuffles_once(spark):
 
 def test_filter_reaches_the_scan(spark):
     plan = QUERIES["collections_bank"](spark, SF)._jdf.queryExecution().toString()
-    assert "EqualTo(o_orderstatus,P)" in plan
+    assert "EqualTo(o_orderstatus,F)" in plan
 
 
 def test_windows_only_along_a_calendar(spark):
