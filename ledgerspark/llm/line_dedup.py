@@ -25,11 +25,16 @@ def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _content(text: Column) -> Column:
+    """A number of the whole text: rows of one id, or without id, may have different texts."""
+    return F.struct(F.xxhash64(text).alias("hash"), F.hash(text).alias("hash2"), F.length(text).alias("size"))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
     """One row per line with something in it; equal lines, but for outer blanks, have equal keys."""
-    at = docs.select(F.col(id_col).alias("id"), F.col(site_col).alias("site"), F.posexplode(_split(F.col(text_col))).alias("pos", "line"))
+    at = docs.select(F.col(id_col).alias("id"), _content(F.col(text_col)).alias("content"), F.col(site_col).alias("site"), F.posexplode(_split(F.col(text_col))).alias("pos", "line"))
     line = F.trim("line")
-    return at.where(line != "").select("id", "site", "pos", F.xxhash64(line).alias("key"), F.hash(line).alias("key2"))
+    return at.where(line != "").select("id", "content", "site", "pos", F.xxhash64(line).alias("key"), F.hash(line).alias("key2"))
 
 
 def spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
@@ -55,14 +60,15 @@ def without_spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str =
     """``docs`` with the text freed of boilerplate, and ``n_lines`` and ``removed_lines``.
 
     Every row comes back once; other columns are untouched. A null text stays null with 0 lines;
-    blank lines stay; repeated rows lose the same lines; a null id keeps nothing for itself
-    (its lines are removed if they are boilerplate and another document holds them).
+    blank lines stay; repeated rows lose the same lines, different texts of one id (or of none)
+    each their own; a null id keeps nothing for itself (its lines are removed if they are
+    boilerplate and another document holds them).
     """
     spread = written(spread_lines(docs, min_sites, id_col, text_col, site_col))
     lines = _lines(docs, id_col, text_col, site_col)
     hits = (lines.join(spread, ["key", "key2"]).where(F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("id")))
-            .groupBy("id").agg(F.collect_set("pos").alias("hits")).select(F.col("id").alias("__id"), "hits"))
-    joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("__id")), "left")
+            .groupBy("id", "content").agg(F.collect_set("pos").alias("hits")).select(F.col("id").alias("__id"), F.col("content").alias("__content"), "hits"))
+    joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("__id")) & (_content(docs[text_col]) == F.col("__content")), "left")
     split, drop = _split(F.col(text_col)), F.coalesce("hits", F.array().cast("array<int>"))
     kept = F.concat_ws("\n", F.filter(split, lambda line, i: ~F.array_contains(F.col("hits"), i)))
     text = F.when(F.col(text_col).isNull() | F.col("hits").isNull(), F.col(text_col)).otherwise(kept)

@@ -193,6 +193,16 @@ def test_line_dedup(spark):
     assert line_dedup.without_spread_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_different_texts_under_one_id(spark):
+    rows = [(i, f"shared line\nown {i}") for i in range(4)]
+    rows += [(None, "shared line\nfirst"), (None, "second\nshared line"), (None, "clean\nlines"), (50, "shared line\nthird"), (50, "fourth\nshared line"), (50, "also\nclean")]
+    docs = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string")
+    got = [(r["doc_id"], r["text"], r["removed_lines"]) for r in line_dedup.without_spread_lines(docs, min_sites=4).collect()]
+    want = [(0, rows[0][1], 0)] + [(i, f"own {i}", 1) for i in (1, 2, 3)]
+    want += [(None, "first", 1), (None, "second", 1), (None, "clean\nlines", 0), (50, "third", 1), (50, "fourth", 1), (50, "also\nclean", 0)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_decontamination(spark):
     items = [(1, " ".join(words(20, 1)) + ". " + " ".join(words(6, 2)) + "."), (2, " ".join(words(30, 3)) + "."), (3, None), (4, ""), (5, "two words"), (None, "x " * 20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
