@@ -260,6 +260,23 @@ def test_language_id(spark):
     assert language_id.language_id(documents(spark, [])).count() == 0
 
 
+def test_language_models_hold_all_grams(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöü") for _ in range(6000)), lang) for i, lang in enumerate(["xx"] * 45 + ["yy"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "ENTRIES", 50_000)  # several files per table
+    model = language_id.train(docs)
+    assert model.languages == ["xx", "yy"]
+    for lang, found in zip(model.languages, model.models):
+        grams, _, _ = language_id.characters([t for _, t, own in rows if own == lang])
+        distinct, counts = np.unique(grams, return_counts=True)
+        assert lang == "yy" or len(distinct) > 200_000
+        want = language_id.KneserNey(distinct, counts)
+        asked = np.concatenate([distinct, distinct + np.uint64(1)])
+        assert found.floor == want.floor and np.allclose(found.log_probability(asked), want.log_probability(asked), rtol=1e-5)
+    assert max(len(t.files) for t in model.models[0].shares) > 1
+
+
 def test_kneser_ney_sums_to_one():
     grams, _, _ = language_id.characters(["the cat and the hat", "a dog"])
     model = language_id.KneserNey(*np.unique(grams, return_counts=True))
