@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Largest inner product becomes smallest distance by one more coordinate: x/M is completed to
-length 1 (M: largest norm of all), a query is scaled to length 1. Each table hashes a vector by
+Vectors are told apart by ranges of their norm. Within a range, largest inner product becomes
+smallest distance by one more coordinate: x/M is completed to length 1 (M: largest norm of the
+range), a query is scaled to length 1. Each table hashes a vector by
 floor((a . x + b) / w) under normally distributed a. A query visits its own bucket and buckets
 perturbed by one step in some coordinates, in the order of their expected distance to the
-query; candidates of all tables are ranked by the exact inner product in double precision.
+query; candidates of all tables and ranges are ranked by the exact inner product in double precision.
+Ranges of few vectors are compared exactly with every query, and so are all vectors with a query
+for which the buckets held fewer candidates than it asks for.
 
 Equal vectors are one candidate, which stands for its smallest ids.
 """
@@ -30,6 +33,10 @@ from ledgerspark.session import written
 TABLES, COORDINATES, CELL, PROBES = 10, 8, 2.0, 160
 #: Candidates per group of buckets, and of one bucket in one group.
 GROUP = 20_000
+#: Largest by smallest norm of a range; ranges of at most so many vectors are not hashed.
+RATIO, FEW = 1.25, 1_000
+#: Vectors, and queries, of one block of an exact comparison.
+BLOCK = 4_096
 
 
 def probe_sets(coordinates: int, probes: int) -> np.ndarray:
@@ -62,7 +69,7 @@ class Hashing:
     """The random functions, drawn from a fixed seed: every task has the same."""
 
     size: int
-    norm: float
+    norms: list[float]  # the largest of each hashed range
     tables: int
     coordinates: int
     cell: float
@@ -75,21 +82,21 @@ class Hashing:
     def _places(self, vectors: np.ndarray, table: int) -> np.ndarray:
         return (vectors @ self.a[table] + self.b[table]) / self.cell
 
-    @staticmethod
-    def _number(cells: np.ndarray, table: int) -> np.ndarray:
-        out = np.full(cells.shape[:-1], table + 1, np.uint64)
+    def _number(self, cells: np.ndarray, table: int, within: np.ndarray) -> np.ndarray:
+        """``within``: the range, in a shape that fits the cells without their last axis."""
+        out = np.broadcast_to(within * self.tables + table + 1, cells.shape[:-1]).astype(np.uint64)
         for k in range(cells.shape[-1]):
             out = mix(out * np.uint64(31) + cells[..., k].astype(np.int64).view(np.uint64))
         return out.view(np.int64)
 
-    def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        scaled = vectors / self.norm
+    def buckets(self, vectors: np.ndarray, within: np.ndarray) -> np.ndarray:
+        scaled = vectors / np.array(self.norms)[within][:, None]
         rest = np.sqrt(np.maximum(0, 1 - (scaled ** 2).sum(axis=1, keepdims=True)))
         full = np.hstack([scaled, rest])
-        return np.stack([self._number(np.floor(self._places(full, t)), t) for t in range(self.tables)], axis=1)
+        return np.stack([self._number(np.floor(self._places(full, t)), t, within) for t in range(self.tables)], axis=1)
 
     def probed(self, vectors: np.ndarray, sets: np.ndarray) -> np.ndarray:
-        """Buckets to visit by query, table and probe."""
+        """Buckets to visit by query, table, range and probe."""
         full = np.hstack([vectors / np.linalg.norm(vectors, axis=1, keepdims=True), np.zeros((len(vectors), 1))])
         m, out = self.coordinates, []
         for t in range(self.tables):
@@ -102,7 +109,8 @@ class Hashing:
             for rank in range(2 * m):
                 border = order[:, rank]
                 steps[rows[:, None], np.flatnonzero(sets[:, rank])[None, :], (border % m)[:, None]] += np.where(border < m, -1, 1)[:, None]
-            out.append(self._number(cells[:, None, :] + steps, t))
+            moved = (cells[:, None, :] + steps)[:, None]
+            out.append(np.concatenate([self._number(moved, t, np.int64(r)) for r in range(len(self.norms))], axis=1))
         return np.stack(out, axis=1)
 
 
@@ -184,8 +192,32 @@ def _searcher(k: int):
     return search
 
 
+def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """``qid, cid, score``: the ``k`` best of each block of vectors, by comparison with them all."""
+    def compare(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(stored) and len(asked):
+            x, cids = np.stack(stored["vector"]), stored["cid"].to_numpy()
+            for at in range(0, len(asked), 256):
+                part = asked.iloc[at:at + 256]
+                scores, qids = np.stack(part["vector"]) @ x.T, part["qid"].to_numpy()
+                least = np.partition(scores, max(len(x) - k, 0), axis=1)[:, max(len(x) - k, 0)]
+                r, c = np.nonzero(scores >= least[:, None])
+                out.append(_best(qids[r], cids[c], scores[r, c], k))
+        q, c, s = map(np.concatenate, zip(*out))
+        return pd.DataFrame({"qid": q, "cid": c, "score": s})
+
+    def dealt(rows: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
+        return rows.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
+
+    nq, nv = (max(1, -(-rows.count() // BLOCK)) for rows in (queries, vectors))
+    stored = dealt(vectors.select("cid", "vector"), "cid", "v", nv, "q", nq)
+    asked = dealt(queries.select("qid", "vector"), "qid", "q", nq, "v", nv)
+    return stored.groupBy("q", "v").cogroup(asked.groupBy("q", "v")).applyInPandas(compare, "qid long, cid long, score double")
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, coordinates: int = COORDINATES, cell: float = CELL, probes: int = PROBES) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the ``k`` nearest found, or all candidates if fewer.
+    """``query_id, rank, vec_id, score`` of the ``k`` nearest found, or all candidates if there are fewer.
 
     Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
     rows without id or of another length than most rows have. Repeated ids are one candidate
@@ -202,9 +234,19 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     # Own rows are left out at the end, so one more is looked for.
     classes = written(_classes(own.select("id", "vector"), k + 1))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    total, largest = classes.agg(F.count(F.lit(1)), F.max(norm)).first()
-    hashing, sets = Hashing(length["n"], largest, tables, coordinates, cell), probe_sets(coordinates, probes)
-    groups = max(1, -(-total * tables // GROUP))
+    largest = classes.agg(F.max(norm)).first()[0]
+    if not largest:  # none left, or all too short to have a norm
+        largest = 1.0
+    level = F.coalesce(F.floor((F.lit(float(np.log(largest))) - F.log(norm)) / F.lit(float(np.log(RATIO)))), F.lit(-1)).cast("long")
+    classes = classes.withColumn("level", level)
+    # One row per range of norms: a few, whatever the number of vectors.
+    ranges = classes.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).orderBy("level").collect()
+    total = sum(r["n"] for r in ranges)
+    hashed = [r for r in ranges if r["n"] > FEW and 0 < r["norm"] < float("inf")]
+    within = {r["level"]: j for j, r in enumerate(hashed)}
+    hashing, sets = Hashing(length["n"], [r["norm"] for r in hashed], tables, coordinates, cell), probe_sets(coordinates, probes)
+    by_hash, by_comparison = classes.where(F.col("level").isin([*within])), classes.where(~F.col("level").isin([*within]))
+    groups = max(1, -(-sum(r["n"] for r in hashed) * tables // GROUP))
     # Zeros of either sign are one vector.
     plain = F.transform("vector", lambda v: v + F.lit(0.0))
     asking = written(own.where("asks").select("id", plain.alias("vector")).join(classes.select("cid", "vector"), "vector").select(F.col("id").alias("query_id"), F.col("cid").alias("qid")).distinct())
@@ -213,27 +255,40 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     def hash_vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                cells = hashing.buckets(np.stack(batch["vector"]))
+                cells = hashing.buckets(np.stack(batch["vector"]), batch["level"].map(within).to_numpy(np.int64))
                 yield pd.DataFrame({"cid": batch["cid"], "cells": list(cells)})
 
     def hash_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at:at + 500]
+            step = max(1, 500 // len(hashed))
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at:at + step]
                 cells = hashing.probed(np.stack(part["vector"]), sets)
                 yield pd.DataFrame({"qid": part["qid"], "cells": list(cells.reshape(len(part), -1))})
 
-    placed = classes.select("cid", "vector").mapInPandas(hash_vectors, "cid long, cells array<long>").select("cid", F.explode("cells").alias("cell"))
-    placed = written(placed)
-    # A bucket with many vectors is dealt to several groups.
-    sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("parts"))
-    group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).alias("group")
-    dealt = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("cid"), "parts")).select("cid", "cell", group)
-    stored = dealt.join(classes.select("cid", "vector"), "cid")
-    visits = queries.mapInPandas(hash_queries, "qid long, cells array<long>").select("qid", F.explode("cells").alias("cell")).distinct()
-    visits = visits.join(sizes, "cell").select("qid", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("qid", "cell", group)
-    wanted = visits.groupBy("qid", "group").agg(F.collect_list("cell").alias("cells")).join(queries, "qid")  # at most the probes
-    found = stored.groupBy("group").cogroup(wanted.groupBy("group")).applyInPandas(_searcher(k + 1), "qid long, cid long, score double")
+    def in_buckets() -> DataFrame:
+        placed = by_hash.select("cid", "vector", "level").mapInPandas(hash_vectors, "cid long, cells array<long>").select("cid", F.explode("cells").alias("cell"))
+        placed = written(placed)
+        # A bucket with many vectors is dealt to several groups.
+        sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("parts"))
+        group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).alias("group")
+        dealt = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("cid"), "parts")).select("cid", "cell", group)
+        stored = dealt.join(classes.select("cid", "vector"), "cid")
+        visits = queries.mapInPandas(hash_queries, "qid long, cells array<long>").select("qid", F.explode("cells").alias("cell")).distinct()
+        visits = visits.join(sizes, "cell").select("qid", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("qid", "cell", group)
+        wanted = visits.groupBy("qid", "group").agg(F.collect_list("cell").alias("cells")).join(queries, "qid")  # at most the probes
+        return stored.groupBy("group").cogroup(wanted.groupBy("group")).applyInPandas(_searcher(k + 1), "qid long, cid long, score double")
+
+    found = in_buckets() if hashed else None
+    if len(hashed) < len(ranges):
+        few = _compared(queries, by_comparison, k + 1)
+        found = few if found is None else found.unionByName(few)
+    if hashed:
+        found = written(found)
+        held = found.groupBy("qid").agg(F.countDistinct("cid").alias("held")).where(F.col("held") >= min(k + 1, total))
+        short = written(queries.join(held, "qid", "left_anti"))
+        if not short.isEmpty():
+            found = found.unionByName(_compared(short, classes, k + 1))
     merged = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
     ranked = merged.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))).where(F.col("place") <= k + 1)
     named = ranked.join(classes.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("vec_id"))

@@ -237,6 +237,30 @@ def test_nearest(spark):
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 100, 1000])
+def test_nearest_among_skewed_norms(spark, monkeypatch, few):
+    monkeypatch.setattr(nearest, "FEW", few)
+    monkeypatch.setattr(nearest, "BLOCK", 150)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 32))
+    vectors *= np.where(np.arange(600) % 200 == 7, 1000.0, rng.uniform(0.9, 1, 600))[:, None] / np.linalg.norm(vectors, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    out: dict[int, set] = {}
+    for r in nearest.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        out.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert set(out) == set(range(0, 600, 20)) and all(len(found) == 20 for found in out.values())
+    hit = sum(len(found & {*[i for i in np.argsort(-vectors @ vectors[q]).tolist() if i != q][:20]}) for q, found in out.items())
+    assert hit / (20 * len(out)) >= (1 if few == 1000 else 0.9)
+
+
+def test_nearest_of_a_small_table_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "FEW", 0)
+    vectors = np.random.default_rng(6).normal(size=(15, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]) for r in nearest.nearest(df, F.lit(True)).collect()}
+    assert found == {(i, j) for i in range(15) for j in range(15) if i != j}
+
+
 def test_license_scan(spark):
     notice = license_scan.NOTICES["Apache-2.0"][0]
     rows = [(i, t) for i, t in enumerate(ODD)] + [(100, "x " * 50 + notice.upper() + " y" * 20), (101, notice), (102, "licensed under the apache"), (101, notice)]
