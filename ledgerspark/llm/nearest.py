@@ -33,6 +33,8 @@ from ledgerspark.session import written
 TABLES, COORDINATES, CELL, PROBES = 10, 8, 2.0, 160
 #: Candidates per group of buckets, and of one bucket in one group.
 GROUP = 20_000
+#: Queries per block of a group, about. The vectors of the group are repeated per block.
+QUERIES = 20_000
 #: Largest by smallest norm of a range; ranges of at most so many vectors are not hashed.
 RATIO, FEW = 1.25, 1_000
 #: Vectors, and queries, of one block of an exact comparison.
@@ -273,11 +275,13 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
         sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("parts"))
         group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).alias("group")
         dealt = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("cid"), "parts")).select("cid", "cell", group)
-        stored = dealt.join(classes.select("cid", "vector"), "cid")
+        blocks = max(1, -(-queries.count() // QUERIES))
+        stored = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(classes.select("cid", "vector"), "cid")
         visits = queries.mapInPandas(hash_queries, "qid long, cells array<long>").select("qid", F.explode("cells").alias("cell")).distinct()
         visits = visits.join(sizes, "cell").select("qid", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("qid", "cell", group)
         wanted = visits.groupBy("qid", "group").agg(F.collect_list("cell").alias("cells")).join(queries, "qid")  # at most the probes
-        return stored.groupBy("group").cogroup(wanted.groupBy("group")).applyInPandas(_searcher(k + 1), "qid long, cid long, score double")
+        wanted = wanted.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
+        return stored.groupBy("group", "block").cogroup(wanted.groupBy("group", "block")).applyInPandas(_searcher(k + 1), "qid long, cid long, score double")
 
     found = in_buckets() if hashed else None
     if len(hashed) < len(ranges):

@@ -253,6 +253,29 @@ def test_nearest_among_skewed_norms(spark, monkeypatch, few):
     assert hit / (20 * len(out)) >= (1 if few == 1000 else 0.9)
 
 
+def test_nearest_deals_many_queries_to_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.random.default_rng(8).normal(size=(400, 16)))], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nearest, "FEW", 0)
+
+    def answers():
+        return sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in nearest.nearest(df, F.lit(True), k=5).collect())
+
+    whole, search = answers(), nearest._searcher
+
+    def watched(k):
+        inner = search(k)
+
+        def run(vectors, probes):
+            assert len(probes) <= 100, "too many queries at once"
+            return inner(vectors, probes)
+
+        return run
+
+    monkeypatch.setattr(nearest, "_searcher", watched)
+    monkeypatch.setattr(nearest, "QUERIES", 50, raising=False)
+    assert answers() == whole
+
+
 def test_nearest_of_a_small_table_is_whole(spark, monkeypatch):
     monkeypatch.setattr(nearest, "FEW", 0)
     vectors = np.random.default_rng(6).normal(size=(15, 32))
