@@ -182,6 +182,27 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("size", "cut", "inserted"), [(90, 45, 10), (90, 45, 9), (80, 40, 9), (99, 49, 11)])
+def test_passages_with_inserted_sentences(size, cut, inserted):
+    passage, extra = words(size, 31), words(inserted, 32)
+    raw = [" ".join(t) for t in (words(70, 33) + passage + words(80, 34), words(90, 35) + passage[:cut] + extra + passage[cut:] + words(60, 36))]
+    x, y = (hashing.shingle_hashes(*hashing.word_hashes(*hashing.utf8(pa.array([t]))), substring_dedup.SIZE)[0] for t in raw)
+    n = size - substring_dedup.SIZE + 1
+    want = (n - 4) / (n + inserted + 4)  # four runs cross the place, and as many begin or end in the insertion
+    assert want >= substring_dedup.SIMILARITY
+    assert substring_dedup.verified_passages(x, y) == [(70, 70 + n - 1, 90, 90 + n - 1 + inserted, want)]
+    assert substring_dedup.verified_passages(y, x) == [(90, 90 + n - 1 + inserted, 70, 70 + n - 1, want)]
+
+
+def test_every_place_of_a_passage_is_named():
+    rng = np.random.default_rng(9)
+    passage, beside = rng.integers(0, 1 << 60, 60), rng.integers(0, 1 << 60, (4, 200))
+    y = np.concatenate([beside[0], passage, beside[1], passage, beside[2]])
+    x = np.concatenate([beside[3], passage])
+    assert substring_dedup.verified_passages(x, y) == [(200, 259, 200, 259, 1.0), (200, 259, 460, 519, 1.0)]
+    assert substring_dedup.verified_passages(y, x) == [(200, 259, 200, 259, 1.0), (460, 519, 200, 259, 1.0)]
+
+
 def test_line_dedup(spark):
     rows = [(i, f"shared line\nown {i}\n\n shared line ") for i in range(6)] + [(None, "shared line"), (7, None), (8, ""), (7, "rare"), (3, "shared line\nown 3\n\n shared line ")]
     docs = spark.createDataFrame([(i, t, None if i == 5 else f"s{i}", 1) for i, t in rows], "doc_id long, text string, source string, key long")
