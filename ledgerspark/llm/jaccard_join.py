@@ -304,7 +304,7 @@ def _open_pairs(stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFr
     from_pivot = two(likely, ["a"], enough)
     reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_n - x_overlap, y_n - y_overlap)) >= {percent} * (x_n + y_n)"
     first = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    lacking = met(written(known.select("a", "b"))).groupBy("a", "b").agg(F.sort_array(F.flatten(F.collect_list(F.array_except("in_b", "in_a")))).alias("runs"))
+    lacking = met(written(known.select("a", "b"))).groupBy("a", "b").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.array_except("in_b", "in_a"))))).alias("runs"))  # repeated rows count once
     beside = known.join(lacking, ["a", "b"]).withColumn("whole", F.size("runs") <= 3 * first)
     beside = beside.withColumn("run", F.explode(F.when(F.col("whole"), F.col("runs")).otherwise(F.slice("runs", F.lit(1), first)))).drop("runs")
     common = two(beside, ["a", "run"], reachable).groupBy("a", "x_b", "y_b").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x_overlap", "y_overlap")).alias("least"), F.min(F.col("x_n") + F.col("y_n")).alias("n"), F.min(F.col("x_whole") & F.col("y_whole")).alias("whole"))

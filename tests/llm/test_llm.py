@@ -150,6 +150,15 @@ def test_jaccard_empty_and_without_id(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(None, None), (1, 1)}
 
 
+@pytest.mark.parametrize("times", [1, 4])
+def test_open_pairs_count_repeated_rows_once(spark, times):
+    sides = [(1, 2, 0, [], list(range(2, 12)))] + [(1, 3, 0, [], list(range(1, 12)))]
+    both = spark.createDataFrame(sides * times, "a long, b long, part int, in_a array<long>, in_b array<long>")
+    stars = spark.createDataFrame([(1, 2, 0, 10), (1, 3, 0, 11)], "a long, b long, overlap long, nb long")
+    found = jaccard_join._open_pairs(stars, spark.createDataFrame([], "node long, root long"), lambda pairs: both.join(pairs, ["a", "b"]), 85)
+    assert [tuple(r) for r in found.collect()] == [(2, 3)]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60) if i != 30] + [(5, 5)], "a long, b long")
     assert {r["node"]: r["root"] for r in components.components(links).collect()} == {i: 0 if i <= 30 else 31 for i in range(1, 61) if i != 31}
