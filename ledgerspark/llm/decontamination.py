@@ -84,13 +84,14 @@ class Index:
             questions.append((short, np.unique(own[0] if short else shingle_hashes(*own, SHINGLE)[0])))
         a, ab = hashed([p[1] for p in parts])
         return Index(np.array([i for i, _ in items]), terms, np.ascontiguousarray(np.array(maxima, np.float32).T), blocks, questions,
-                     [np.unique(a[x:y]) for x, y in zip(ab, ab[1:])], int(max(32, sizes.max())))
+                     [np.unique(a[x:y]) for x, y in zip(ab, ab[1:])], int(np.ceil(max(32, sizes.max()) / OVERLAP)))
 
     def retrieve(self, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All (row, first word of the passage, item number) at or above the threshold.
 
         Passages are two strides wide and begin at every stride, so that an item of at most a
-        stride lies whole in one of them.
+        stride lies whole in one of them. A stride is longer than the longest item by the share
+        that OVERLAP leaves, for copies with words inserted.
         """
         none = np.zeros(0, np.int64)
         place = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
@@ -193,7 +194,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out if out is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, question_overlap double, answer_overlap double")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that hold a test item; a null id is always kept."""
-    found = contaminated(docs, benchmark, id_col=id_col).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs[id_col] == F.col("__id"), "left_anti")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a test item, each judged by its own text; a null id is always kept."""
+    schema = docs.schema
+    for index in _indexes(benchmark, "item_id", "text"):
+        shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by SHARD items
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows in slices(batch, text_col):
+                    keep = np.ones(rows.num_rows, bool)
+                    keep[[row for row, *_ in shared.value.verified(*word_hashes(*utf8(rows.column(text_col)), PUNCTUATION))]] = False
+                    keep |= np.array(rows.column(id_col).is_null())
+                    yield rows.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs

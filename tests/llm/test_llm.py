@@ -267,6 +267,18 @@ def test_nearest(spark):
     assert nearest.nearest(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0
 
 
+def test_decontamination_of_rows_and_of_copies_with_inserted_words(spark):
+    question, answer, extra = words(40, 41), words(10, 42), words(10, 43)
+    bench = spark.createDataFrame([(1, " ".join(question) + ". " + " ".join(answer) + ".")], "item_id long, text string")
+    copy = question[:20] + extra + question[20:] + answer
+    rows = [(i, " ".join(words(i, 44) + copy + words(100, 45))) for i in range(130)]
+    found = {r["doc_id"] for r in decontamination.contaminated(documents(spark, rows), bench).collect()}
+    assert found == set(range(130))
+    same_id = [(7, rows[7][1]), (7, "clean text"), (8, "clean too"), (7, None)]
+    left = decontamination.decontaminated(documents(spark, same_id), bench).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in left) == [(7, ""), (7, "clean text"), (8, "clean too")]
+
+
 @pytest.mark.parametrize("few", [0, 100, 1000])
 def test_nearest_among_skewed_norms(spark, monkeypatch, few):
     monkeypatch.setattr(nearest, "FEW", few)
