@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, nearest, packing, substring_dedup, token_files, toxicity
+from ledgerspark.llm import alignment, decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, nearest, packing, prefix_trie, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -74,5 +87,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_mixing": op12_mixing,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
-SQL: dict[str, str] = {"op3_license_scan": license_scan.LICENSE_SQL, "op9_line_dedup": line_dedup.LINE_DEDUP_SQL}
+SQL: dict[str, str] = {"op3_license_scan": license_scan.LICENSE_SQL, "op9_line_dedup": line_dedup.LINE_DEDUP_SQL, "op11_prefix_trie": prefix_trie.PREFIX_TRIE_SQL, "op12_mixing": mixing.MIXING_SQL}
