@@ -1 +1 @@
-"""DataFrame-to-DataFrame operators. The only action is the bounded count of hot keys."""
+"""DataFrame-to-DataFrame operators. None of them runs a job."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import labels as L
 from ..functions.text import canonical_id
-from .keyed import count_per_key, hot_keys, spread_join
+from .keyed import count_per_key, spread_join
 
 # Columns of the three published tables.
 ONLINE_COLUMNS = ["TIPO_RECIBO", "No", "CEDULA", "NOMBRE", "VALOR"]
@@ -28,7 +28,8 @@ def match_accounts(online: DataFrame, lender_a: DataFrame, lender_b: DataFrame)
     """Every advance with each of its client's accounts at both lenders, and their counts.
 
     A client's accounts repeat its advances: that is the published result, not a by-product.
-    All four tables meet on the client in one placement of the advances.
+    All four tables meet on the client in one placement of the advances; a client with very
+    many rows in the result is cut along its advances and along its accounts at either lender.
     """
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("CEDULA", canonical_id("CEDULA"))
@@ -36,10 +37,9 @@ def match_accounts(online: DataFrame, lender_a: DataFrame, lender_b: DataFrame)
     left, a, b = keyed(online), keyed(lender_a), keyed(lender_b)
     joined = spread_join(
         left,
-        [count_per_key(b, ["CEDULA"], "CUENTAS_FS"), count_per_key(a, ["CEDULA"], "CUENTAS_ARP"),
-         b, a],
+        [count_per_key(b, ["CEDULA"], "CUENTAS_FS"), count_per_key(a, ["CEDULA"], "CUENTAS_ARP")],
         ["CEDULA"],
-        hot_keys(left, ["CEDULA"]),
+        many=[b, a],
     )
     return joined.withColumns({
         c: F.coalesce(F.col(c), F.lit(0).cast("bigint")) for c in ("CUENTAS_FS", "CUENTAS_ARP")

@@ -23,7 +23,9 @@ from ..functions.text import (
 from ..functions.validity import (
     DEFAULT_CITY, DEFAULT_DEPARTMENT, city_or_default, place_or_default, valid_email, valid_phone,
 )
-from .keyed import first_per_key, hot_keys, last_per_key, lookup, spread_join, with_key_variants
+from .keyed import (
+    first_per_key, last_per_key, lookup, row_counts, spread_join, sum_per_key, with_key_variants,
+)
 
 
 @dataclass(frozen=True)
@@ -58,10 +60,12 @@ def corrected_ids(bad_ids: DataFrame) -> DataFrame:
     return last_per_key(pairs, ["id"], _ORD, keep=["good"])
 
 
-def correct_ids(records: DataFrame, column: str, bad_ids: DataFrame) -> DataFrame:
+def correct_ids(
+    records: DataFrame, column: str, bad_ids: DataFrame, *, rows: Sequence[str] | None = None
+) -> DataFrame:
     """Replaces identifiers that have a correction; the others stay."""
     table = corrected_ids(bad_ids).withColumnRenamed("id", column)
-    found = lookup(records, table, [column])
+    found = lookup(records, table, [column], rows=rows)
     return found.withColumn(column, F.coalesce("good", column)).drop("good")
 
 
@@ -90,10 +94,10 @@ def person_table(fixes: Corrections) -> DataFrame:
     known = pairs.select("id")
     for table in (contacts, types, names):
         known = known.unionByName(table.select("id"))
-    people = lookup(known.distinct(), pairs, ["id"]).select(
+    people = lookup(known.distinct(), pairs, ["id"], rows=["id"]).select(
         F.col("id").alias("raw"), F.coalesce("good", "id").alias("id")
     )
-    return spread_join(people, [contacts, types, names], ["id"], hot_keys(people, ["id"]))
+    return spread_join(people, [contacts, types, names], ["id"], rows=["raw"])
 
 
 def repair_contact(current: str, replacement: str) -> Column:
@@ -102,11 +106,13 @@ def repair_contact(current: str, replacement: str) -> Column:
         F.col(current))
 
 
-def with_person(records: DataFrame, id_column: str, fixes: Corrections) -> DataFrame:
+def with_person(
+    records: DataFrame, id_column: str, fixes: Corrections, *, rows: Sequence[str] | None = None
+) -> DataFrame:
     """Adds the person columns by raw identifier and puts the corrected identifier in place."""
     table = person_table(fixes).withColumnRenamed("id", "good").withColumnRenamed("raw", id_column)
     return (
-        lookup(records, table, [id_column])
+        lookup(records, table, [id_column], rows=rows)
         .withColumn(id_column, F.coalesce("good", id_column))
         .drop("good", "in_master")
     )
@@ -129,24 +135,35 @@ def opening_values(opening: DataFrame, *, width: int | None = None, strip_only:
     return with_key_variants(table, "account", "opening", _ORD, width=width)
 
 
-def payments_received(payments: DataFrame, *, width: int | None = None) -> DataFrame:
-    """``account`` -> amount paid in thousands; amounts are summed before the division."""
-    summed = (
-        payments.select(account_key("kind", "number").alias("account"),
-                        F.col("amount").cast(MONEY).alias("amount"))
-        .dropna(subset=["account"])
-        .groupBy("account")
-        .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"))
-        .select("account", thousands("amount").alias("paid"))
-    )
+def payments_received(
+    payments: DataFrame, *, width: int | None = None, strip_only: bool = False,
+    in_thousands: bool = True,
+) -> DataFrame:
+    """``account`` -> amount paid; amounts are summed before any division.
+
+    Bureau B's file has thousands and accounts without any blanks, bureau A's whole amounts
+    and accounts whose parts are only stripped.
+    """
+    key = F.concat(F.trim("kind"), F.trim("number")) if strip_only else account_key("kind", "number")
+    amount = F.coalesce(F.col("amount"), F.lit(0).cast(MONEY))
+    summed = sum_per_key(
+        payments.select(key.alias("account"), F.col("amount").cast(MONEY).alias("amount")),
+        ["account"], {"amount": F.col("amount")},
+    ).select("account", (thousands(amount) if in_thousands else amount.cast(MONEY)).alias("paid"))
     return with_key_variants(summed, "account", "paid", ["account"], width=width)
 
 
-def validate_contacts(records: DataFrame, *, phones: dict[str, bool], emails: Sequence[str]
-                      ) -> DataFrame:
-    """Invalid phones and e-mails become empty text; ``phones`` says if landlines are allowed."""
-    changes = {c: valid_phone(c, landline=land) for c, land in phones.items()}
-    return records.withColumns(changes | {c: valid_email(c) for c in emails})
+def id_type_text(code: str = "code", *, width: int | None = None) -> Column:
+    """Identifier type as text, 1 where none is known; with ``width`` cut and zero-padded."""
+    text = F.coalesce(whole(code), F.lit(1)).cast("string")
+    return text if width is None else zero_pad(F.substring(text, 1, width), width)
+
+
+def pad_fields(records: DataFrame, *, zeros: dict[str, int], blanks: dict[str, int]) -> DataFrame:
+    """Fields in their published widths: numbers with zeros in front, texts with blanks behind."""
+    return records.withColumns(
+        {c: zero_pad(F.coalesce(c, F.lit("")), w) for c, w in zeros.items()}
+        | {c: space_pad(F.coalesce(c, F.lit("")), w) for c, w in blanks.items()})
 
 
 def override_name(id_column: str, name_column: str) -> Column:
@@ -182,6 +199,12 @@ A_CONSTANTS = {"ESTADO ORIGEN DE LA CUENTA": "0", "SITUACION DEL TITULAR": "0",
 A_ACCOUNT_WIDTH = 18
 
 
+def record_columns(records: DataFrame) -> tuple[list[str], list[str] | None]:
+    """The fields of the records, and the column that tells equal records apart, if any."""
+    known = _ORD if _ORD[0] in records.columns else None
+    return [c for c in records.columns if c not in _ORD], known
+
+
 def floor_amounts(columns: Sequence[str], limit: int, *, inclusive: bool) -> dict[str, Column]:
     return {c: zero_below(number(c), limit, inclusive=inclusive) for c in columns}
 
@@ -191,21 +214,23 @@ def clean_bureau_a(records: DataFrame, fixes: Corrections, *, apply_payments: bo
     """Corrected and padded records of bureau A, from trimmed text fields.
 
     ``apply_payments`` also writes payments received into the arrears value, which the
-    published file does not do: its account keys can never meet.
+    published file does not do: its account keys can never meet. ``_ord`` is a record's place
+    in its file, where it is known.
     """
-    columns = records.columns
+    columns, rows = record_columns(records)
     account = zero_pad(F.coalesce(drop_spaces(A_ACCOUNT), F.lit("")), A_ACCOUNT_WIDTH)
     keyed = records.withColumns({A_ID: id_text(A_ID), A_ACCOUNT: account})
-    person = with_person(keyed, A_ID, fixes)
+    person = with_person(keyed, A_ID, fixes, rows=rows)
     fixed = repair_contacts(person, {A_NAME: "name", A_ADDRESS: "address", A_EMAIL: "email",
                                      A_PHONE: "phone"})
 
     tables = [opening_values(fixes.opening, width=A_ACCOUNT_WIDTH, strip_only=True)]
     if apply_payments:
-        tables.append(payments_received(fixes.payments, width=A_ACCOUNT_WIDTH))
+        tables.append(payments_received(fixes.payments, width=A_ACCOUNT_WIDTH, strip_only=True,
+                                        in_thousands=False))
     valued = spread_join(
         fixed, [t.withColumnRenamed("account", A_ACCOUNT) for t in tables], [A_ACCOUNT],
-        hot_keys(keyed, [A_ACCOUNT]),
+        rows=rows, counts=row_counts(keyed, [A_ACCOUNT]),
     )
     amounts = {A_OPENING: F.coalesce(F.col("opening").cast("string"), F.col(A_OPENING))}
     if apply_payments:
@@ -213,7 +238,9 @@ def clean_bureau_a(records: DataFrame, fixes: Corrections, *, apply_payments: bo
             F.col("paid").cast("string"), F.col("VALOR SALDO MORA"))
     valued = valued.withColumns(amounts)
 
-    texts = [c for c in columns if c not in (A_EMAIL, A_ID, *A_AMOUNTS, *A_DATES)]
+    # Amounts are numbers by then; every text but the e-mail loses its symbols, also dates and
+    # the identifier, after it has been looked up.
+    texts = [c for c in columns if c not in (A_EMAIL, *A_AMOUNTS)]
     plain = valued.withColumns({c: plain_text(F.coalesce(c, F.lit(""))) for c in texts})
     opened, due, paid_on = (compact_date(c) for c in A_DATES)
     kept = [c for c in A_AMOUNTS if c != A_AVAILABLE]
@@ -227,16 +254,12 @@ def clean_bureau_a(records: DataFrame, fixes: Corrections, *, apply_payments: bo
             A_CITY: city_or_default(A_CITY, DEFAULT_CITY),
             A_PHONE: valid_phone(A_PHONE),
             A_EMAIL: valid_email(A_EMAIL),
-            "TIPO DE IDENTIFICACION": F.coalesce(whole("code"), F.lit(1)).cast("string"),
+            "TIPO DE IDENTIFICACION": id_type_text(),
         }
         | floor_amounts(kept, A_SMALL, inclusive=False)
     )
-    padded = checked.withColumns(
-        {c: zero_pad(F.coalesce(c, F.lit("")), w) for c, w in A_ZERO_WIDTHS.items()}
-        | {c: space_pad(F.coalesce(c, F.lit("")), w) for c, w in A_BLANK_WIDTHS.items()}
-        | {c: F.lit(v) for c, v in A_CONSTANTS.items()}
-    )
-    return padded.select(*columns)
+    padded = pad_fields(checked, zeros=A_ZERO_WIDTHS, blanks=A_BLANK_WIDTHS)
+    return padded.withColumns({c: F.lit(v) for c, v in A_CONSTANTS.items()}).select(*columns)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -294,10 +317,10 @@ def split_by_id(records: DataFrame, id_column: str = B.id_number) -> tuple[DataF
 
 def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns = B) -> DataFrame:
     """Corrected and padded records of bureau B, from trimmed text fields with numeric ids."""
-    columns = records.columns
+    columns, rows = record_columns(records)
     account = prefix(F.coalesce(drop_spaces(names.account_number), F.lit("")), B_ACCOUNT_WIDTH)
     keyed = records.withColumn(names.account_number, account)
-    person = with_person(keyed, names.id_number, fixes)
+    person = with_person(keyed, names.id_number, fixes, rows=rows)
     fixed = repair_contacts(person, {names.full_name: "name", names.address: "address",
                                      names.email: "email", names.phone: "phone"})
     valued = spread_join(
@@ -305,7 +328,7 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
         [t.withColumnRenamed("account", names.account_number)
          for t in (opening_values(fixes.opening), payments_received(fixes.payments))],
         [names.account_number],
-        hot_keys(keyed, [names.account_number]),
+        rows=rows, counts=row_counts(keyed, [names.account_number]),
     )
 
     untouched = (names.email, names.actual_value_paid, names.id_number)
@@ -313,7 +336,6 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
     plain = valued.withColumns({c: plain_text(F.coalesce(c, F.lit(""))) for c in texts})
 
     opened, due = compact_date(names.open_date), compact_date(names.due_date)
-    kind = F.substring(F.coalesce(whole("code"), F.lit(1)).cast("string"), 1, 2)
     amounts = floor_amounts(names.amounts(), B_SMALL, inclusive=True)
     amounts[names.initial_value] = zero_below(
         F.coalesce(F.col("opening").cast("double"), number(names.initial_value)), B_SMALL,
@@ -324,7 +346,7 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
             names.open_date: opened,
             names.due_date: not_before(due, opened),
             names.actual_value_paid: F.coalesce("paid", F.lit(0).cast("bigint")),
-            names.id_type: zero_pad(kind, 2),
+            names.id_type: id_type_text(width=2),
             names.city: place_or_default(names.city, DEFAULT_CITY),
             names.department: place_or_default(names.department, DEFAULT_DEPARTMENT),
             names.full_name: override_name(names.id_number, names.full_name),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from .keyed import flag_repeats
+from .keyed import collapsed, expanded, flag_repeats, row_counts
 
 
 def flag_payments(payments: DataFrame) -> DataFrame:
@@ -24,12 +24,17 @@ def flag_payments(payments: DataFrame) -> DataFrame:
 
 
 def flag_advances(table: DataFrame) -> DataFrame:
-    """Adds ``marca`` for the remark, and flags for a repeated client and repeated documents."""
-    out = table
+    """Adds ``marca`` for the remark, and flags for a repeated client and repeated documents.
+
+    Equal rows are counted once for all three flags.
+    """
+    packed = collapsed(table)
+    out, told = packed, packed.columns
     for column in ("CEDULA", "FACTURA_FS", "FACTURA_ARP"):
         if column in table.columns:
-            out = flag_repeats(out, column, f"{column}_repetida")
-    return out.withColumn(
+            out = flag_repeats(out, column, f"{column}_repetida", rows=told,
+                               counts=row_counts(table, [column]))
+    return expanded(out).withColumn(
         "marca",
         F.when(F.col("OBSERVACIONES") == L.TWO_LENDERS, F.lit("dos carteras"))
         .when(F.col("OBSERVACIONES") == L.ADVANCE_PAID, F.lit("pago total"))

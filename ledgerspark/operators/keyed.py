@@ -4,33 +4,36 @@ Two rules keep these usable when one key holds a large part of all rows:
 
 * reductions are plain aggregates, so a hot key shrinks to one row per task before
   anything is shuffled - there is no window over a whole group;
-* joins that bring a table's rows together by key spread the rows of its hot keys over
-  many tasks (``spread_join``).
+* joins that bring a table's rows together by key deal the rows of its heavy keys to
+  cells, on either side of the join (``spread_join``).
+
+Nothing here runs a job: which keys are heavy is part of the plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import operator
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
 
 from ..functions.text import zero_pad
 
-# A key is hot from this many rows on, and never below this share of all rows. The share
-# bounds the number of hot keys: at most 1 / HOT_SHARE keys can each hold that much.
-HOT_ROWS = 100_000
-HOT_SHARE = 1e-5
+# A key is heavy if its rows in the result of a join exceed this, and never below this share of
+# all rows of that result. The share bounds the number of heavy keys: at most 1 / HEAVY_SHARE
+# keys can each hold that much. No cell of a heavy key is expected to hold more.
+HEAVY_ROWS = 10_000
+HEAVY_SHARE = 1e-5
 
-# A table up to this size, by Spark's own estimate, is one task's work however its keys are
-# spread, so its keys are not counted.
-SMALL_BYTES = 32 * 1024 * 1024
+# Equal rows of a table without a row identity are carried as one row and a number; a number
+# above this is carried in several pieces.
+EQUAL_ROWS = 1_000
 
-_SALT = "_salt"
-_SPREAD = "_spread"
+_CELL = "_cell"
+_TIMES = "_times"
+_PIECE = "_piece"
 
 
 def _ordered(order: Sequence[str]) -> Column:
@@ -64,106 +67,140 @@ def count_per_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys that hold many rows, with the number of parts to spread each one over."""
-
-    keys: tuple[str, ...]
-    table: DataFrame | None
-    blank: bool
-
-    def __bool__(self) -> bool:
-        return self.table is not None or self.blank
-
-    def renamed(self, *keys: str) -> HotKeys:
-        """The same hot keys under other column names."""
-        table = self.table.toDF(*keys, _SPREAD) if self.table is not None else None
-        return HotKeys(keys, table, self.blank)
+def sum_per_key(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+    """One row per key with the named sums; rows with a null key go away."""
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(
+        *[F.sum(value).alias(name) for name, value in sums.items()])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """Counts the rows per key and fetches the hot ones: the library's only action.
+def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as ``spread_join`` takes them, for several joins of one table."""
+    return count_per_key(df, keys, "_rows")
 
-    It reads the key columns alone and shuffles one row per key and task. What comes back is
-    at most ``1 / HOT_SHARE`` keys whatever the size of ``df``, because every hot key holds
-    at least that share of the rows; so it may be broadcast as well. Most tables have none,
-    and their joins then stay ordinary ones.
-    """
-    return hot_keys_of(df, keys)[0]
 
+def _cell_side(counts: Sequence[Column], limit: Column) -> Column:
+    """Rows of one table that a cell may hold so that the product over all tables, where a
+    table cannot give more than it has, comes to ``limit``."""
+    by_size = F.array_sort(F.array(*counts))
+    sides, used = [], F.lit(1.0)
+    for i in range(len(counts)):
+        size = F.element_at(by_size, i + 1)
+        sides.append((size, F.pow(limit / used, F.lit(1.0 / (len(counts) - i)))))
+        used = used * size
+    out = sides[-1][1]
+    for size, side in reversed(sides[:-1]):
+        out = F.when(side <= size, side).otherwise(out)
+    return F.greatest(out, F.lit(1.0))
 
-def hot_keys_of(df: DataFrame, *key_lists: Sequence[str]) -> list[HotKeys]:
-    """``hot_keys`` for several keys of one table in one pass over it."""
-    if estimated_bytes(df) <= SMALL_BYTES:
-        return [HotKeys(tuple(keys), None, blank=False) for keys in key_lists]
-    columns = list(dict.fromkeys(c for keys in key_lists for c in keys))
-    counts = df.groupingSets([list(keys) for keys in key_lists], *columns).agg(
-        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n")
-    )
-    total = counts.agg(F.sum("_n") / F.lit(len(key_lists))).scalar()
-    limit = F.greatest(F.lit(float(HOT_ROWS)), total * F.lit(HOT_SHARE))
-    found = counts.where(F.col("_n") >= limit).select(
-        *columns, "_set", (F.ceil(F.col("_n") / limit) + 1).cast("int").alias(_SPREAD)
-    )
-    fetched = found.collect()
-    return [_hot_of(df, keys, columns, fetched) for keys in key_lists]
 
+def heavy_keys(counts: DataFrame, keys: Sequence[str], many: Sequence[DataFrame] = ()) -> DataFrame:
+    """``keys`` and ``_parts``: into how many parts each table's rows of a heavy key go.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The size by which Spark itself decides on broadcasts: file sizes, never too low for a
-    join, whose estimate is the product of its sides."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    ``counts`` has the rows per key of the left table, ``many`` those of right tables that
+    have several rows per key. The result is part of the plan; it has at most
+    ``1 / HEAVY_SHARE`` rows whatever the size of the tables, because every heavy key holds
+    at least that share of the joined rows, so it may be broadcast as well.
+    """
+    joined, names = counts, ["_rows"]
+    for i, one in enumerate(many):
+        names.append(f"_rows_{i}")
+        joined = joined.join(one.withColumnRenamed("_rows", names[-1]), list(keys), "left")
+    sizes = [F.coalesce(F.col(n), F.lit(1)).cast("double") for n in names]
+    made = joined.select(*keys, *[s.alias(n) for s, n in zip(sizes, names)],
+                         reduce(operator.mul, sizes).alias("_made"))
+    total = made.agg((F.sum("_made") * F.lit(HEAVY_SHARE)).alias("least")).scalar()
+    limit = F.greatest(F.lit(float(HEAVY_ROWS)), total)
+    heavy = made.where(F.col("_made") > limit)
+    side = _cell_side([F.col(n) for n in names], limit)
+    return heavy.select(*keys, F.array(*[F.ceil(F.col(n) / side).cast("int") for n in names])
+                        .alias("_parts"))
+
+
+def collapsed(df: DataFrame) -> DataFrame:
+    """Equal rows as one row and ``_times``; many of them in several pieces.
+
+    Which of them is which does not matter, so the pieces are the same in every attempt.
+    """
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / EQUAL_ROWS))
+    return counted.withColumn(_PIECE, F.explode(pieces)).withColumn(
+        _TIMES, F.least(F.lit(EQUAL_ROWS), F.col("_n") - F.col(_PIECE) * EQUAL_ROWS)).drop("_n")
 
 
-def _hot_of(df: DataFrame, keys: Sequence[str], columns: list[str], fetched: list[Row]) -> HotKeys:
-    # A grouping id has a bit for every column that is not part of the set.
-    own = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
-    mine = [(*[r[k] for k in keys], r[_SPREAD]) for r in fetched if r["_set"] == own]
-    named = [r for r in mine if None not in r]
-    schema = StructType([df.schema[k] for k in keys]).add(_SPREAD, IntegerType())
-    table = df.sparkSession.createDataFrame(named, schema) if named else None
-    return HotKeys(tuple(keys), table, blank=len(named) < len(mine))
+def expanded(df: DataFrame, times: Column | str = _TIMES) -> DataFrame:
+    """The rows that ``collapsed`` counted, each for itself again."""
+    number = F.col(times) if isinstance(times, str) else times
+    again = df.withColumn(_TIMES, F.explode(F.sequence(F.lit(1).cast("long"), number)))
+    return again.drop(_TIMES, _PIECE)
 
 
 def spread_join(
     left: DataFrame,
     right: DataFrame | Sequence[DataFrame],
     keys: Sequence[str],
-    hot: HotKeys,
     *,
+    many: Sequence[DataFrame] = (),
+    rows: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
     how: str = "left",
 ) -> DataFrame:
-    """Equi-join on ``keys`` with the left rows of every hot key spread over many tasks.
-
-    A left row of a hot key takes one of that key's parts by the hash of its values, and
-    the matching right rows are repeated once per part; all other keys have one part. Left
-    rows with a null key match nothing, so they are spread freely. Several right tables on
-    the same key share one placement of the left rows.
-
-    ``hot`` comes from ``hot_keys`` over the table whose rows are many, on columns that are
-    among ``keys``.
+    """Equi-join on ``keys`` with the rows of every heavy key dealt to cells.
+
+    ``right`` are tables with one row per key, ``many`` tables with any number of them. The
+    rows that a heavy key has in the result are cut along every table whose rows are many:
+    a row takes its part of its own table by a hash and is repeated for the parts of the
+    others, so each combination of rows meets in one cell. All other keys have one cell.
+    Left rows with a null key match nothing and are spread freely. All tables share one
+    placement of the left rows.
+
+    ``rows`` are columns that tell the rows of ``left`` apart (an ordinal, or all columns of
+    a distinct table). Without them equal rows are counted first and travel as pieces, which
+    costs another shuffle but splits a million equal rows as well as any others. Tables in
+    ``many`` are always counted first. ``counts`` is ``row_counts`` of a table with the same
+    keys as ``left``, where that is cheaper to count. Only ``left`` and ``inner`` joins.
     """
     rights = [right] if isinstance(right, DataFrame) else list(right)
-    if not hot:
-        return reduce(lambda df, one: df.join(one, list(keys), how), rights, left)
-
-    def with_parts(df: DataFrame) -> DataFrame:
-        if hot.table is None:
-            return df.withColumn(_SPREAD, F.lit(1))
-        return df.join(F.broadcast(hot.table), list(hot.keys), "left").withColumn(
-            _SPREAD, F.coalesce(_SPREAD, F.lit(1)))
-
-    blank = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    parts = F.when(blank, F.lit(int(1 / HOT_SHARE))).otherwise(F.col(_SPREAD))
-    placed = with_parts(left).select(
-        *left.columns, F.pmod(F.xxhash64(*left.columns), parts).cast("int").alias(_SALT)
-    )
+    keys, many = list(keys), [one.dropna(subset=keys) for one in many]
+    packed = left if rows is not None else collapsed(left)
+    heavy = F.broadcast(heavy_keys(
+        counts if counts is not None else row_counts(left, keys), keys,
+        [row_counts(one, keys) for one in many]))
+
+    def size(i: int) -> Column:
+        return F.coalesce(F.col("_parts")[i], F.lit(1))
+
+    def placed(df: DataFrame, own: int | None, names: Sequence[str] = ()) -> DataFrame:
+        """Rows with their cells: their own part of table ``own``, all parts of the others."""
+        out, cell = df.join(heavy, keys, "left"), F.lit(0)
+        for i in range(1 + len(many)):
+            if i == own:
+                row = F.xxhash64(*[F.col(f"`{c}`") for c in names])
+                out = out.withColumn(f"_part_{i}", F.pmod(row, size(i)).cast("int"))
+            else:
+                out = out.withColumn(f"_part_{i}", F.explode(F.sequence(F.lit(0), size(i) - 1)))
+            cell = cell * size(i) + F.col(f"_part_{i}")
+        return out.withColumn(_CELL, cell).drop(*[f"_part_{i}" for i in range(1 + len(many))])
+
+    blank = reduce(operator.or_, [F.col(f"`{k}`").isNull() for k in keys])
+    told = [*rows] if rows is not None else packed.columns
+    free = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in told]), F.lit(int(1 / HEAVY_SHARE)))
+    out = placed(packed, 0, told).withColumns(
+        {_CELL: F.when(blank, free.cast("int")).otherwise(F.col(_CELL))}
+        | {f"_split_{i}": size(i + 1) > 1 for i in range(len(many))}).drop("_parts")
     for one in rights:
-        repeated = with_parts(one.dropna(subset=list(keys))).select(
-            *one.columns, F.explode(F.sequence(F.lit(0), F.col(_SPREAD) - 1)).alias(_SALT)
-        )
-        placed = placed.join(repeated, [*keys, _SALT], how)
-    return placed.drop(_SALT)
+        out = out.join(placed(one.dropna(subset=keys), None).drop("_parts"), [*keys, _CELL], how)
+    times = [] if rows is not None else [F.col(_TIMES)]
+    for i, one in enumerate(many):
+        table = collapsed(one)
+        cut = placed(table, i + 1, table.columns).drop("_parts", _PIECE)
+        out = out.join(cut.withColumnRenamed(_TIMES, f"{_TIMES}_{i}"), [*keys, _CELL], how)
+        # A cell of a split key may lack this table's rows; the key has some in other cells.
+        out = out.where(~F.col(f"_split_{i}") | F.col(f"{_TIMES}_{i}").isNotNull())
+        times.append(F.coalesce(F.col(f"{_TIMES}_{i}"), F.lit(1).cast("long")))
+    if times:
+        out = expanded(out, reduce(operator.mul, times))
+    made = [f"{name}_{i}" for i in range(len(many)) for name in (_TIMES, "_split")]
+    return out.drop(_CELL, *made)
 
 
 def lookup(
@@ -171,43 +208,43 @@ def lookup(
     table: DataFrame | Sequence[DataFrame],
     keys: Sequence[str],
     *,
-    hot: HotKeys | None = None,
+    rows: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join; without ``hot`` the hot keys of ``df`` are counted here.
-
-    Counting reads the key columns of ``df`` once more. A plan that looks up the same key
-    several times counts once, over its base table, and hands the result in.
-    """
-    return spread_join(df, table, keys, hot if hot is not None else hot_keys(df, keys))
+    """Left join with tables of one row per key; see ``spread_join``."""
+    return spread_join(df, table, keys, rows=rows, counts=counts)
 
 
-def null_safe_lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+def null_safe_lookup(
+    df: DataFrame, table: DataFrame, key: str, *, rows: Sequence[str] | None = None
+) -> DataFrame:
     """Left join in which a null key matches a null key.
 
-    The key is first turned into a value that is never null, so hot keys - the blank one
+    The key is first turned into a value that is never null, so heavy keys - the blank one
     among them - are spread like any other.
     """
     safe = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("-"))
     other = [c for c in table.columns if c != key]
     left = df.withColumn("_key", safe)
-    return lookup(left, table.select(safe.alias("_key"), *other), ["_key"]).drop("_key")
+    return lookup(left, table.select(safe.alias("_key"), *other), ["_key"], rows=rows).drop("_key")
 
 
 def replace_if_present(
-    df: DataFrame, column: str, table: DataFrame, new: str, *, hot: HotKeys | None = None
+    df: DataFrame, column: str, table: DataFrame, new: str, *, rows: Sequence[str] | None = None
 ) -> DataFrame:
     """Values of ``column`` that ``table`` knows get its ``new`` value, the others stay."""
-    found = lookup(df, table.select(column, F.col(new).alias("_new")), [column], hot=hot)
+    found = lookup(df, table.select(column, F.col(new).alias("_new")), [column], rows=rows)
     return found.withColumn(column, F.coalesce("_new", column)).drop("_new").select(*df.columns)
 
 
 def membership(
-    df: DataFrame, column: str, members: DataFrame, name: str, *, hot: HotKeys | None = None
+    df: DataFrame, column: str, members: DataFrame, name: str, *,
+    rows: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds ``name``: true where the value of ``column`` occurs in ``members``."""
     known = members.select(column).distinct().withColumn("_known", F.lit(True))
     return (
-        lookup(df, known, [column], hot=hot)
+        lookup(df, known, [column], rows=rows)
         .withColumn(name, F.coalesce("_known", F.lit(False)))
         .drop("_known")
         .select(*df.columns, name)
@@ -231,15 +268,18 @@ def with_key_variants(
     )
 
 
-def flag_repeats(df: DataFrame, column: str, name: str) -> DataFrame:
+def flag_repeats(
+    df: DataFrame, column: str, name: str, *, rows: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``name``: true on every row whose value of ``column`` occurs more than once.
 
-    The counts name the hot keys as well, so the join back is spread without another pass.
+    The counts name the heavy keys as well, so ``df`` is read twice: to count and to mark.
     """
-    counts = count_per_key(df, [column], "_n")
-    repeated = counts.where("_n > 1").select(column, F.lit(True).alias("_twice"))
+    counts = counts if counts is not None else row_counts(df, [column])
+    repeated = counts.where("_rows > 1").select(column, F.lit(True).alias("_twice"))
     return (
-        lookup(df, repeated, [column])
+        lookup(df, repeated, [column], rows=rows, counts=counts)
         .withColumn(name, F.coalesce("_twice", F.lit(False)))
         .drop("_twice")
         .select(*df.columns, name)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import labels as L
 from ..functions.dates import date_text
 from ..functions.numbers import MONEY, amount_text, reference_text
-from .keyed import first_per_key, hot_keys, spread_join
+from .keyed import first_per_key, spread_join
 
 ACCOUNT_COLUMNS = ["CEDULA", "FACTURA", "SALDO", "CENTRO_COSTO"]
 
@@ -68,19 +68,21 @@ def portfolio_of_client(
     keyed = accounts.withColumns({
         "shown": shown, "FACTURA FINAL": F.when(shown != L.SEVERAL_PORTFOLIOS, shown),
     })
-    # A document has at most as many clients as account rows, so counting the account tables
-    # finds every document that is hot here.
-    documents = _tagged(lender_a, lender_b).select(F.col("FACTURA").alias("FACTURA FINAL"))
     found = spread_join(
         keyed,
         [document_balances(lender_a, lender_b, order=order),
          agency.withColumnRenamed("FACTURA", "FACTURA FINAL")],
         ["FACTURA FINAL"],
-        hot_keys(documents, ["FACTURA FINAL"]),
+        rows=["CEDULA"],
     )
     return found.drop("FACTURA FINAL").withColumnRenamed("shown", "FACTURA FINAL")
 
 
+def distinct_payments(payments: DataFrame, *, row_id: Sequence[str] = ()) -> DataFrame:
+    """Identical payments collapse into one; with ``row_id`` columns every payment stays."""
+    return payments.dropDuplicates(list(row_id)) if row_id else payments.distinct()
+
+
 def resolve_portfolio(
     payments: DataFrame,
     client: str,
@@ -91,24 +93,25 @@ def resolve_portfolio(
     agencies: DataFrame,
     guarantors: DataFrame,
     order: Sequence[str],
+    row_id: Sequence[str] = (),
 ) -> DataFrame:
     """Attaches employee state, portfolio and guarantor to every distinct payment.
 
-    Identical payments collapse into one. Several guarantor rows of a client repeat its
+    Identical payments collapse into one unless ``row_id`` tells them apart. Several guarantor rows of a client repeat its
     payments. All tables are keyed by client, so payments are shuffled once, with the
-    payments of a hot client spread over many tasks.
+    payments of a heavy client, and its guarantors, spread over many tasks.
     """
-    distinct = payments.distinct()
+    distinct = distinct_payments(payments, row_id=row_id)
     people = first_per_key(employees, ["vincedula"], order, keep=["ESTADO_EMPLEADO"])
     portfolio = portfolio_of_client(lender_a, lender_b, agencies, order=order)
     backed = guarantors.select("DOCUMENTO_CODEUDOR", "CODEUDOR")
     joined = spread_join(
         distinct,
         [people.withColumnRenamed("vincedula", client),
-         portfolio.withColumnRenamed("CEDULA", client),
-         backed.withColumnRenamed("DOCUMENTO_CODEUDOR", client)],
+         portfolio.withColumnRenamed("CEDULA", client)],
         [client],
-        hot_keys(distinct, [client]),
+        many=[backed.withColumnRenamed("DOCUMENTO_CODEUDOR", client)],
+        rows=row_id or payments.columns,
     )
     none = F.lit(0).cast("bigint")
     return joined.withColumns({

@@ -18,8 +18,8 @@ def spark():
 
 @pytest.fixture
 def spread(monkeypatch):
-    """Makes every key with two rows or more a hot one, so joins take the spread path."""
+    """Makes every key with more than two joined rows a heavy one, and equal rows many."""
     from ledgerspark.operators import keyed
 
-    monkeypatch.setattr(keyed, "HOT_ROWS", 2)
-    monkeypatch.setattr(keyed, "SMALL_BYTES", 0)
+    monkeypatch.setattr(keyed, "HEAVY_ROWS", 2)
+    monkeypatch.setattr(keyed, "EQUAL_ROWS", 2)

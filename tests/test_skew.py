@@ -1,8 +1,11 @@
-"""Hot keys: found, bounded, spread, and without effect on results."""
+"""Heavy keys: found, bounded, cut, and without effect on results."""
 
+from contextlib import contextmanager
+
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import invoices, items, keyed
+from ledgerspark.operators import advances, invoices, items, keyed
 
 
 def skewed(spark, rows=3000):
@@ -13,54 +16,108 @@ def skewed(spark, rows=3000):
     return spark.range(rows).select(n, key.alias("key"))
 
 
-def test_small_tables_are_not_counted(spark):
-    found = keyed.hot_keys(skewed(spark), ["key"])
-    assert not found
+def dealt(df):
+    """Rows per task of the last stage, without merging or splitting tasks."""
+    return [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+
+
+@pytest.fixture
+def plain_tasks(spark):
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+                          "spark.sql.shuffle.partitions": "8"}):
+        yield
+
+
+@contextmanager
+def settings(spark, values):
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
 
 
-def test_hot_keys_of_two_columns_in_one_pass(spark, monkeypatch):
-    monkeypatch.setattr(keyed, "HOT_ROWS", 500)
-    monkeypatch.setattr(keyed, "SMALL_BYTES", 0)
-    df = skewed(spark).withColumn("half", F.col("id") % 2)
-    by_key, by_half = keyed.hot_keys_of(df, ["key"], ["half"])
-    assert [(r[0], r[1]) for r in by_key.table.collect()] == [("hot", 3)]
-    assert sorted(r[0] for r in by_half.table.collect()) == [0, 1]
-    assert not by_key.blank
+def test_heavy_keys_and_their_parts(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "HEAVY_ROWS", 400)
+    found = keyed.heavy_keys(keyed.row_counts(skewed(spark), ["key"]), ["key"])
+    assert [(r.key, r._parts) for r in found.collect()] == [("hot", [3])]
 
 
-def test_hot_list_is_bounded_by_the_share(spark, monkeypatch):
-    monkeypatch.setattr(keyed, "HOT_ROWS", 1)
-    monkeypatch.setattr(keyed, "SMALL_BYTES", 0)
-    monkeypatch.setattr(keyed, "HOT_SHARE", 0.1)
-    found = keyed.hot_keys(skewed(spark), ["key"])
-    assert found.table.count() <= 10
+def test_both_sides_of_a_heavy_key_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "HEAVY_ROWS", 100)
+    left = spark.createDataFrame([("a", 50), ("b", 2), ("c", 3), ("d", 1)], "key string, _rows long")
+    right = spark.createDataFrame([("a", 5000), ("b", 1000), ("c", 3), ("e", 9999)], "key string, _rows long")
+    found = {r.key: r._parts for r in keyed.heavy_keys(left, ["key"], [right]).collect()}
+    assert found == {"a": [5, 500], "b": [1, 20]}
 
 
-def test_spread_join_equals_plain_join(spark, spread):
+def test_heavy_list_is_bounded_by_the_share(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "HEAVY_ROWS", 1)
+    monkeypatch.setattr(keyed, "HEAVY_SHARE", 0.1)
+    assert keyed.heavy_keys(keyed.row_counts(skewed(spark), ["key"]), ["key"]).count() <= 10
+
+
+@pytest.mark.parametrize("rows", [None, ["id"]])
+def test_spread_join_equals_plain_join(spark, spread, rows):
     left = skewed(spark)
     right = left.dropna().select("key").distinct().withColumn("v", F.length("key"))
     more = left.dropna().select("key").distinct().withColumn("w", F.upper("key"))
-    hot = keyed.hot_keys(left, ["key"])
-    assert hot and hot.blank
-    got = keyed.spread_join(left, [right, more], ["key"], hot)
+    got = keyed.spread_join(left, [right, more], ["key"], rows=rows)
     want = left.join(right, "key", "left").join(more, "key", "left").select(*got.columns)
     assert got.count() == 3000
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_spread_join_keeps_fan_out(spark, spread):
-    left = skewed(spark, 300)
-    right = skewed(spark, 60).dropna().withColumnRenamed("id", "other")
-    got = keyed.spread_join(left, right, ["key"], keyed.hot_keys(left, ["key"]))
-    assert got.count() == left.join(right, "key", "left").count()
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_fan_out_of_several_tables_with_equal_rows(spark, spread, how):
+    """Equal rows on every side, a key that only one table has, keys that none has."""
+    n = F.col("id")
+    left = skewed(spark, 90).select("key", (n % 3).alias("a"))
+    one = skewed(spark, 60).dropna().select("key", (n % 2).alias("b"))
+    two = skewed(spark, 40).where("key <> 'k1'").select("key", (n % 5).alias("c"))
+    only = left.dropna().select("key").distinct().where("key <> 'k7'").withColumn("v", F.length("key"))
+    got = keyed.spread_join(left, only, ["key"], many=[one, two], how=how)
+    want = left.join(only, "key", how).join(one, "key", how).join(two, "key", how).select(*got.columns)
+    assert got.count() == want.count() > 1000
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_rows_of_a_hot_key_land_in_several_parts(spark, spread):
-    left = skewed(spark)
-    right = left.dropna().select("key").distinct()
-    hot = keyed.hot_keys(left, ["key"])
-    plan = keyed.spread_join(left, right, ["key"], hot)._jdf.queryExecution().toString()
-    assert "_salt" in plan
+def test_collapsed_rows_come_back(spark, spread):
+    df = skewed(spark, 50).select("key")
+    packed = keyed.collapsed(df)
+    assert packed.agg(F.max("_times")).first()[0] <= 2
+    back = keyed.expanded(packed)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_a_client_with_a_million_accounts_is_dealt_to_all_tasks(spark, plain_tasks):
+    online = spark.range(40).select(
+        F.lit("R").alias("TIPO_RECIBO"), F.col("id").alias("No"),
+        F.when(F.col("id") < 2, "hot").otherwise(F.col("id").cast("string")).alias("CEDULA"),
+        F.lit("n").alias("NOMBRE"), F.lit(-5).cast("decimal(18,2)").alias("VALOR"))
+
+    def accounts(n, end):
+        return spark.range(n).select(
+            F.lit("z").alias(f"ZONA_COBRADOR_{end}"), F.lit("c").alias(f"CENTRO_COSTO_{end}"),
+            F.col("id").cast("string").alias(f"FACTURA_{end}"), F.lit("hot").alias("CEDULA"),
+            F.lit(1).cast("decimal(18,2)").alias(f"ULTIMO_SALDO_{end}"))
+
+    matched = advances.match_accounts(online, accounts(1, "ARP"), accounts(1_000_000, "FS"))
+    per_task = dealt(matched)
+    assert sum(per_task) == 2_000_038
+    assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
+
+
+def test_a_million_equal_rows_are_dealt_to_all_tasks(spark, plain_tasks):
+    left = spark.range(1_000_000).select(F.lit("hot").alias("account"))
+    right = spark.range(1000).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("account"),
+        F.col("id").alias("opening"))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        per_task = dealt(keyed.lookup(left, right, ["account"]))
+    assert sum(per_task) == 1_000_000
+    assert len(per_task) == 8 and max(per_task) <= 2 * sum(per_task) / 8
 
 
 def test_calendar_of_a_hot_client_has_one_row_per_day(spark):
