@@ -43,6 +43,11 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared folder, for files of one kind."""
+    return f"{shared_folder(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
@@ -50,6 +55,6 @@ def written(df: DataFrame) -> DataFrame:
     read instead of the whole lineage.
     """
     spark = df.sparkSession
-    place = f"{shared_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    place = own_folder(spark, "tables")
     df.write.parquet(place)
     return spark.read.schema(df.schema).parquet(place)

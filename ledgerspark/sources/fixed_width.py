@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import NULL_TEXTS
-from ..session import written
 
 Layout = Sequence[tuple[str, int, int]]
 
@@ -25,9 +24,13 @@ def from_windows_1252(c: Column | str) -> Column:
     return F.translate(F.col(c) if isinstance(c, str) else c, _AS_READ, _AS_MEANT)
 
 
-def parse_fields(lines: DataFrame, layout: Layout, *, line: str = "line") -> DataFrame:
+def parse_fields(
+    lines: DataFrame, layout: Layout, *, line: str = "line", keep: Sequence[str] = ()
+) -> DataFrame:
     """Cuts every field out of ``line``: trimmed text, null when missing.
 
+    Columns in ``keep`` stay as they are.
+
     Finding a place in text counts its characters from the left, so the line is first cut
     into stretches of a few fields and each field is found within its stretch.
     """
@@ -36,56 +39,123 @@ def parse_fields(lines: DataFrame, layout: Layout, *, line: str = "line") -> Dat
     pieces = lines.select(*[
         F.substring(line, s[0][1] + 1, s[-1][2] - s[0][1]).alias(f"_{i}")
         for i, s in enumerate(stretches)
-    ])
+    ], *keep)
     cuts = {
         name: f"trim(substring(_{i}, {start - s[0][1] + 1}, {end - start})) AS `{name}`"
         for i, s in enumerate(stretches) for name, start, end in s
     }
     missing = ", ".join(f"'{text}'" for text in ["", *NULL_TEXTS])
-    return pieces.selectExpr(*[cuts[name] for name, _, _ in layout]).selectExpr(*[
+    return pieces.selectExpr(*[cuts[name] for name, _, _ in layout], *keep).selectExpr(*[
         f"CASE WHEN `{name}` NOT IN ({missing}) THEN `{name}` END AS `{name}`"
         for name, _, _ in layout
-    ])
+    ], *keep)
+
+
+def to_windows_1252(c: Column | str) -> Column:
+    """The reverse: text that, encoded as ISO-8859-1, has the bytes of Windows-1252."""
+    return F.translate(F.col(c) if isinstance(c, str) else c, _AS_MEANT, _AS_READ)
+
+
+def fits_windows_1252(c: Column) -> Column:
+    """Whether all characters of a text have a byte, and none of them ends a line."""
+    plain = F.translate(c, _AS_MEANT, "")
+    return ~plain.rlike("[^\\x20-\\x7e\\u00a0-\\u00ff]")
+
+
+def _text_options(io):
+    for name, value in (("encoding", "ISO-8859-1"), ("sep", "\u0001"), ("quote", ""),
+                        ("escape", ""), ("header", True)):
+        io = io.option(name, value)
+    return io
+
+
+def write_record_files(
+    lines: DataFrame, folder: str, *, files: int, order: Sequence[str], header: str = "HEADER",
+    line: str = "line", trailer: str = "TRAILER",
+) -> None:
+    """Writes lines as Windows-1252 record files, each with a header and a trailer line.
+
+    Lines are dealt to ``files`` by their ``order`` columns, which tell them apart, and stand
+    in that order. The trailer ends with the number of lines of its file.
+    """
+    at = F.pmod(F.xxhash64(*order), F.lit(files)).cast("int")
+    body = lines.select(F.col(line).alias("line"), at.alias("file"), F.lit(0).alias("last"),
+                        F.struct(*order).alias("at"))
+    ends = body.groupBy("file").agg(
+        F.format_string(f"{trailer}%010d", F.count(F.lit(1))).alias("line"),
+        F.lit(1).alias("last"), F.max("at").alias("at"))
+    rows = body.unionByName(ends).repartition(files, "file").sortWithinPartitions(
+        "file", "last", "at")
+    out = rows.select(to_windows_1252("line").alias(header), "file").write.partitionBy("file")
+    _text_options(out).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(folder)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Body lines of record files: blank lines, each file's first and last line are gone.
 
-    The reader itself drops the header. The lines are written once with the split they come from
-    and their place in it; a file's trailer is the last line of its last split that has any.
-    Both sides are read from there, so they agree however the scan was split.
+    ``_ord`` is a line's file, split, and place in its split. The reader itself drops the
+    header. A file's trailer is the last line of its last split that has any: a small
+    aggregate finds one line per file, which is dropped while the lines are read. Both scans
+    have the same columns and splits; the line itself is compared as well.
     """
-    raw = written(
-        spark.read.schema("line string")
-        .option("encoding", "ISO-8859-1").option("sep", "\u0001")
-        .option("quote", "").option("escape", "").option("header", True)
-        .csv(path)
-        .select(
-            "line",
+    raw = _text_options(spark.read.schema("line string")).csv(path).select(
+        "line",
+        F.struct(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("place"),
-        )
+        ).alias("_ord"),
     )
-    last = raw.groupBy("path").agg(F.max(F.struct("split", "place")).alias("last"))
-    trailers = last.select("path", F.col("last.place").alias("place"))
-    body = raw.join(trailers, ["path", "place"], "left_anti")
-    return body.select(from_windows_1252("line").alias("line"))
+    last = raw.groupBy(F.col("_ord.path").alias("path")).agg(
+        F.max_by(F.struct("_ord", "line"), F.struct("_ord.split", "_ord.place")).alias("last"))
+    # One row per file, as many as the driver lists for the scan anyway.
+    trailers = F.broadcast(last.select("last._ord", "last.line"))
+    body = raw.join(trailers, ["_ord", "line"], "left_anti")
+    return body.select(from_windows_1252("line").alias("line"), "_ord")
 
 
 def read_records(spark: SparkSession, path: str | Sequence[str], layout: Layout) -> DataFrame:
-    return parse_fields(read_lines(spark, path), layout)
+    """Parsed fields of every body line, and the line's ``_ord``."""
+    return parse_fields(read_lines(spark, path), layout, keep=["_ord"])
 
 
-def to_lines(records: DataFrame, layout: Layout) -> DataFrame:
-    """Records as text lines with every field at its place; a longer value is an error."""
-    parts, at = [], 0
-    for name, start, end in sorted(layout, key=lambda field: field[1]):
-        parts.append(f"'{' ' * (start - at)}'")
-        value, width = f"coalesce(string(`{name}`), '')", end - start
-        parts.append(
-            f"CASE WHEN length({value}) > {width} THEN "
-            f"string(raise_error('{name} is longer than {width}')) "
-            f"ELSE rpad({value}, {width}, ' ') END")
+def lines_and_rejects(
+    records: DataFrame, layout: Layout, *, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Every record as a text line with its fields at their places, or why it has none.
+
+    ``line`` is null where a field does not fit; then ``field`` is the first such field in
+    the order of places, ``reason`` says whether its value is longer than the field or has a
+    character that the file cannot hold, and ``value`` shows it. One pass gives both outputs.
+    """
+    by_place = sorted(layout, key=lambda f: f[1])
+    parts, at, problems = [], 0, []
+    for name, start, end in by_place:
+        value, width = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")), end - start
+        if start > at:
+            parts.append(F.lit(" " * (start - at)))
+        parts.append(F.when(F.length(value) > width, value).otherwise(F.rpad(value, width, " ")))
+        problems.append(F.when(
+            F.length(value) > width,
+            F.struct(F.lit(name).alias("field"), F.lit("too long").alias("reason"), value.alias("value"))
+        ).when(
+            ~fits_windows_1252(value),
+            F.struct(F.lit(name).alias("field"), F.lit("no such character").alias("reason"), value.alias("value"))
+        ))
         at = end
-    return records.selectExpr(f"concat({', '.join(parts)}) AS line")
+    line = F.concat(*parts)
+    good = (F.length(line) == at) & fits_windows_1252(line)  # else look at field by field
+    problem = F.when(~good, F.coalesce(*problems))
+    judged = records.select(*keep, problem.alias("problem"), line.alias("line"))
+    return judged.select(
+        *keep, F.when(F.col("problem").isNull(), F.col("line")).alias("line"),
+        "problem.field", "problem.reason", "problem.value")
+
+
+def to_lines(records: DataFrame, layout: Layout) -> DataFrame:
+    """Records as text lines; a value that does not fit its field is an error."""
+    checked = lines_and_rejects(records, layout)
+    wrong = F.raise_error(F.concat_ws(" ", "field", F.lit("is longer than its field or cannot be written:"), "reason"))
+    return checked.select(
+        F.when(F.col("field").isNull(), F.col("line")).otherwise(wrong.cast("string")).alias("line"))

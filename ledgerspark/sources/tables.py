@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,14 +45,18 @@ def conform(df: DataFrame, table: Table, *, strict: bool = False, extra: Sequenc
     Headers are stripped. A column that is not there becomes a typed null, or with
     ``strict`` an error. All names change at once, so two columns may trade names.
     """
-    present = {name.strip(): name for name in df.columns}
+    present: dict[str, list[str]] = {}
+    for name in df.columns:
+        present.setdefault(name.strip(), []).append(name)
     missing = [s for s, _, _ in table.columns if s not in present]
     if strict and missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     out = []
     for source, name, kind in table.columns:
         if source in present:
-            value = _typed(F.col(f"`{present[source]}`"), kind, df.schema[present[source]].dataType)
+            # Files of one scan may spell a header with and without blanks.
+            value = F.coalesce(*[_typed(F.col(f"`{c}`"), kind, df.schema[c].dataType)
+                                 for c in present[source]])
         else:
             value = F.lit(None).cast(KIND_TYPES[kind])
         out.append(value.alias(name))
@@ -125,29 +131,85 @@ def load_extracts(spark: SparkSession, paths: Sequence[str]
                   ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Reads Parquet extracts, sorted into types by file name, and reports on every path.
 
-    A path that cannot be opened is reported and left out; the others are read. Sheets of a
-    workbook arrive as sub-folders named like the sheet.
+    All paths of a type are one scan, or one per schema where their schemas do not go
+    together, so the plan does not grow with the number of files. Sheets of a workbook arrive
+    as sub-folders named like the sheet; an absent sheet is skipped. A path that cannot be
+    read is reported and left out as a whole, with all its sheets; the others are read.
     """
-    parts: dict[str, list[DataFrame]] = {}
-    seen = []
-    for path in paths:
-        kind, error = type_of_name(path), None
-        if kind is not None:
-            try:
-                for name, folder in _tables_of(kind, path):
-                    raw = with_file_order(spark.read.parquet(folder))
-                    parts.setdefault(name, []).append(_shaped(raw, MONTHLY[name]))
-            except (AnalysisException, ValueError) as problem:
-                error = str(problem).splitlines()[0]
-        seen.append((path, error))
-    report = load_report(spark.createDataFrame(seen, "path string, error string"))
-    loaded = {name: with_credit_key(union_all(tables)) for name, tables in parts.items()}
+    kinds = {path: type_of_name(path) for path in paths}
+    wanted: dict[str, dict[str, str]] = {}
+    for path, kind in kinds.items():
+        for name, folder in _tables_of(kind, path) if kind else ():
+            wanted.setdefault(name, {})[folder] = path
+    opened = {name: open_scans(spark, list(folders), merge=not MONTHLY[name].positional)
+              for name, folders in wanted.items()}
+    errors: dict[str, str] = {}
+    for name, (_, problems) in opened.items():
+        for folder, problem in problems.items():
+            path = wanted[name][folder]
+            if not (problem == ABSENT and folder != path and _exists(spark, path)):
+                errors.setdefault(path, problem)
+    report = load_report(spark.createDataFrame(
+        [(path, errors.get(path)) for path in paths], "path string, error string"))
+
+    loaded = {}
     for name, table in MONTHLY.items():
-        if name not in loaded:
-            loaded[name] = empty(spark, table)
+        parts = []
+        for schema, folders in opened.get(name, ([], {}))[0]:
+            good = [f for f in folders if wanted[name][f] not in errors]
+            if good:
+                scan = with_file_order(spark.read.schema(schema).parquet(*good))
+                parts.append(_shaped(scan, table))
+        loaded[name] = with_credit_key(union_all(parts)) if parts else empty(spark, table)
     return loaded, report
 
 
+ABSENT = "not found"
+
+
+def open_scans(
+    spark: SparkSession, folders: Sequence[str], *, merge: bool = True
+) -> tuple[list[tuple[T.StructType, list[str]]], dict[str, str]]:
+    """Schemas with the folders that one scan can read under them, and unreadable folders.
+
+    With ``merge`` columns that some files lack are null there. All footers are looked at in
+    one job; only if that fails, or files must not be merged, folder by folder.
+    """
+    reader = spark.read.option("mergeSchema", True)
+    if merge:
+        try:
+            return [(reader.parquet(*folders).schema, list(folders))], {}
+        except (PySparkException, Py4JJavaError):
+            pass
+
+    def look(folder: str) -> tuple[T.StructType | None, str | None]:
+        try:
+            return reader.parquet(folder).schema, None
+        except (PySparkException, Py4JJavaError) as problem:
+            absent = isinstance(problem, AnalysisException) and "PATH_NOT_FOUND" in str(problem)
+            return None, ABSENT if absent else str(problem).splitlines()[0]
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        seen = dict(zip(folders, pool.map(look, folders)))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder, (schema, _) in seen.items():
+        if schema is not None:
+            groups.setdefault(schema.json(), (schema, []))[1].append(folder)
+    return list(groups.values()), {f: p for f, (_, p) in seen.items() if p is not None}
+
+
+#: Folders whose footers are looked at at a time.
+FOOTER_THREADS = 16
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def _tables_of(kind: str, path: str) -> list[tuple[str, str]]:
     if MONTHLY[kind].sheet is None:
         return [(kind, path)]
@@ -158,7 +220,20 @@ def _tables_of(kind: str, path: str) -> list[tuple[str, str]]:
 def _shaped(raw: DataFrame, table: Table) -> DataFrame:
     if not table.positional:
         return conform(raw, table, extra=(ORDINAL,))
-    if table.skip_rows:  # counted over all part files of the sheet
-        first = raw.select(ORDINAL).orderBy(ORDINAL).limit(table.skip_rows)
-        raw = raw.join(F.broadcast(first), ORDINAL, "left_anti")
+    if table.skip_rows:
+        raw = skip_first_rows(raw, table.skip_rows)
     return by_position(raw, table, ORDINAL)
+
+
+def skip_first_rows(raw: DataFrame, rows: int) -> DataFrame:
+    """Leaves out the first rows of every sheet in the scan, counted over its part files.
+
+    A sheet is a folder of part files or one file of any other name. Only rows that come
+    first in some file are looked at, so what is sent to all tasks is a few rows per file.
+    """
+    path = F.col(f"{ORDINAL}.path")
+    name = F.element_at(F.split(path, "/"), -1)
+    sheet = F.when(name.startswith("part-"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(path)
+    first = raw.where(F.col(f"{ORDINAL}.row") < rows).groupBy(sheet.alias("sheet")).agg(
+        F.slice(F.array_sort(F.collect_list(ORDINAL)), 1, rows).alias("rows"))
+    return raw.join(F.broadcast(first.select(F.explode("rows").alias(ORDINAL))), ORDINAL, "left_anti")

@@ -38,6 +38,34 @@ def test_record_file_in_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_record_files_written_and_read(spark, tmp_path):
+    df = spark.range(2000).select("id", F.concat(F.lit("Peña “Ñ” €š "), F.col("id"), F.lit("  ")).alias("line"))
+    folder = str(tmp_path / "files")
+    fixed_width.write_record_files(df, folder, files=3, order=["id"])
+    raw = [p.read_bytes().decode("cp1252").splitlines() for p in (tmp_path / "files").rglob("*.csv")]
+    assert len(raw) == 3 and all(x[0] == "HEADER" and x[-1] == f"TRAILER{len(x) - 2:010d}" for x in raw)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("100000", "7001", "999"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            got = fixed_width.read_lines(spark, folder)
+            assert sorted(r.line for r in got.collect()) == sorted(r.line for r in df.collect())
+            assert got.select("_ord").distinct().count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_and_rejects(spark):
+    layout = [("b", 4, 7), ("a", 0, 3)]
+    rows = [(1, "x", "yy"), (2, "long", "z"), (3, "ñ€", "toolong"), (4, "ok", "漢"), (5, None, ""), (6, "a\nb", "")]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    got = {r.id: tuple(r)[1:] for r in fixed_width.lines_and_rejects(df, layout, keep=["id"]).collect()}
+    assert got == {
+        1: ("x   yy ", None, None, None), 2: (None, "a", "too long", "long"),
+        3: (None, "b", "too long", "toolong"), 4: (None, "b", "no such character", "漢"),
+        5: ("       ", None, None, None), 6: (None, "a", "no such character", "a\nb")}
+
+
 @pytest.mark.parametrize("layout", [LAYOUT_A, LAYOUT_B])
 def test_layout_roundtrip(spark, layout):
     row = {name: f"{i}"[: end - start] for i, (name, start, end) in enumerate(layout)}
@@ -76,11 +104,45 @@ def test_publish_replaces_at_once_and_skips_empty(spark, tmp_path):
     folder = str(tmp_path / "out")
     full, empty = spark.range(3), spark.range(0)
     assert sinks.publish_tables(spark, {"a": full, "b": empty}, folder) == ["a"]
+    before = sinks.read_tables(spark, folder)["a"]
     assert sinks.publish_tables(spark, {"c": full}, folder) == ["c"]
-    assert os.listdir(folder) == ["c"]
     with pytest.raises(ValueError):
         sinks.publish_tables(spark, {"d": empty}, folder)
-    assert sorted(os.listdir(tmp_path)) == ["out"] and os.listdir(folder) == ["c"]
+    now = sinks.read_tables(spark, folder)
+    assert list(now) == ["c"] and now["c"].count() == 3 and before.count() == 3
+    shown = sinks.publications(spark, folder).orderBy("at").collect()
+    assert [[(t.name, t.rows) for t in p.tables] for p in shown] == [[("a", 3)], [("c", 3)]]
+
+
+def test_a_write_that_fails_midway_leaves_the_old_report(spark, tmp_path):
+    path = str(tmp_path / "report")
+    sinks.write_report(spark.range(5), path)
+    breaks = spark.range(5000).repartition(4).select(
+        F.when(F.col("id") == 4321, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_report(breaks, path)
+    assert sorted(r.id for r in sinks.read_report(spark, path).collect()) == [0, 1, 2, 3, 4]
+    with pytest.raises(Exception, match="broken"):  # the first of two tables is whole by then
+        sinks.publish_tables(spark, {"report": spark.range(7), "more": breaks}, path)
+    assert sinks.read_report(spark, path).count() == 5
+    sinks.write_report(spark.range(2), path)
+    assert sinks.read_report(spark, path).count() == 2
+
+
+def test_old_publications_are_forgotten(spark, tmp_path):
+    path = str(tmp_path / "report")
+    for n in (3, 4, 5):
+        sinks.write_report(spark.range(n), path)
+    first = sinks.publications(spark, path).orderBy("at").first()
+    assert sinks.forget(spark, path, keep=2) == 1
+    assert sinks.read_report(spark, path).count() == 5
+    assert spark.read.parquet(f"{path}/data/{first.version}/report").count() == 0
+
+
+def test_an_empty_report_may_be_allowed(spark, tmp_path):
+    path = str(tmp_path / "report")
+    sinks.write_report(spark.range(0), path, allow_empty=True)
+    assert sinks.read_report(spark, path).count() == 0
 
 
 def write(spark, path, ddl, rows):
@@ -102,7 +164,7 @@ def test_monthly_base_from_files(spark, tmp_path):
     states = {os.path.basename(r.path): r.status for r in loaded.collect()}
     assert states == {"R91 mayo": "loaded", "VENCIMIENTOS": "loaded", "otro": "skipped",
                       "SC04 falta": "failed"}
-    got = {r.Credito: r for r in spark.read.parquet(out).collect()}
+    got = {r.Credito: r for r in sinks.read_report(spark, out).collect()}
     assert set(got) == {"FA-1", "DF-2"}
     assert got["FA-1"].Empresa == "ARPESOD" and got["FA-1"].Cuota_Vigente == "2"
     assert got["FA-1"].Fecha_Cuota_Vigente == "20/06/2024" and got["FA-1"].Valor_Vencido == 0
@@ -110,6 +172,53 @@ def test_monthly_base_from_files(spark, tmp_path):
     assert got["DF-2"].Vendedor_Activo == "INACTIVO" and got["FA-1"].Codigo_Vendedor == "7"
 
 
+def test_one_scan_for_many_files(spark, tmp_path):
+    ddl = "TIPO_DOCUM string, NUMERO_DOC string, TOTVENTA double"
+    paths = [write(spark, tmp_path / f"CRTMPCONSULTA1 {i}", ddl, [("FA", str(i), float(i))]) for i in range(6)]
+    few, _ = tables.load_extracts(spark, paths[:2])
+    many, report = tables.load_extracts(spark, paths)
+    count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert count(few["CRTMPCONSULTA1"]) == count(many["CRTMPCONSULTA1"]) == 1
+    assert sorted(r.Credito for r in many["CRTMPCONSULTA1"].collect()) == [f"FA-{i}" for i in range(6)]
+    assert {r.status for r in report.collect()} == {"loaded"}
+
+
+def test_paths_are_read_whole_or_not_at_all(spark, tmp_path):
+    """Types that do not go together, blanks in headers, a broken part file, absent sheets."""
+    a = write(spark, tmp_path / "SC04 a", "FACTURA string, SLCVALOR double, SLCNCUOTAS int", [("FA-1", 5.0, 3)])
+    b = write(spark, tmp_path / "SC04 b", "` FACTURA ` string, SLCVALOR string, SLCNCUOTAS int", [("FA-2", "6", 4)])
+    c = write(spark, tmp_path / "SC04 c", "` FACTURA ` string, SLCVALOR double", [("FA-3", 7.0)])
+    spark.createDataFrame([("FA-9", 1.0, 1)] * 4, "FACTURA string, SLCVALOR double, SLCNCUOTAS int").repartition(2).write.parquet(str(tmp_path / "SC04 roto"))
+    (tmp_path / "SC04 roto" / "part-99999-x.parquet").write_bytes(b"no parquet")
+    one = tmp_path / "ASESORES uno"
+    write(spark, one / "ASESORES", "CODIGO_VENDEDOR string", [("1",)])
+    two = tmp_path / "ASESORES dos"
+    write(spark, two / "ASESORES", "CODIGO_VENDEDOR string", [("2",)])
+    write(spark, two / "Centro Costos", "`CENTRO DE COSTOS` string, REGIONAL string", [("3", "R")])
+    bad = tmp_path / "ASESORES tres"
+    write(spark, bad / "ASESORES", "CODIGO_VENDEDOR string", [("4",)])
+    (bad / "Centro Costos").mkdir()
+    (bad / "Centro Costos" / "part-0.parquet").write_bytes(b"no parquet")
+    paths = [a, b, c, str(tmp_path / "SC04 roto"), str(tmp_path / "SC04 falta"), str(one), str(two), str(bad)]
+    loaded, report = tables.load_extracts(spark, paths)
+    states = {os.path.basename(r.path): r.status for r in report.collect()}
+    assert states == {"SC04 a": "loaded", "SC04 b": "loaded", "SC04 c": "loaded", "SC04 roto": "failed", "SC04 falta": "failed",
+                      "ASESORES uno": "loaded", "ASESORES dos": "loaded", "ASESORES tres": "failed"}
+    got = sorted((r.Factura_Venta, float(r.Valor_Cuota), r.Total_Cuotas) for r in loaded["SC04"].collect())
+    assert got == [("FA-1", 5.0, 3), ("FA-2", 6.0, 4), ("FA-3", 7.0, None)]
+    assert sorted(r.Codigo_Vendedor for r in loaded["ASESORES"].collect()) == ["1", "2"]
+    assert [r.Regional_Venta for r in loaded["CENTRO_COSTOS"].collect()] == ["R"]
+
+
+def test_rows_are_skipped_in_every_sheet_of_a_scan(spark, tmp_path):
+    ddl = ", ".join(f"c{i} string" for i in range(15))
+    paths = [str(tmp_path / f"MATRIZ CARTERA {k}") for k in range(3)]
+    for k, path in enumerate(paths):
+        spark.createDataFrame([(f"{k}-{i}", *["x"] * 14) for i in range(5)], ddl).coalesce(1).write.parquet(path)
+    loaded, _ = tables.load_extracts(spark, paths)
+    assert sorted(r.Zona for r in loaded["MATRIZ_CARTERA"].collect()) == [f"{k}-{i}" for k in range(3) for i in (2, 3, 4)]
+
+
 def read(spark, path):
     return tables.with_file_order(spark.read.parquet(str(path)))
 
@@ -137,20 +246,22 @@ def test_collections_and_advances_from_files(spark, tmp_path):
         found[name] = read(spark, tmp_path / f"t{i}")
     out = str(tmp_path / "pagos")
     assert run_collections(spark, found, out) == ["Bancolombia", "Efecty"]
-    bank = {r["No."]: r for r in spark.read.parquet(f"{out}/Bancolombia").collect()}
+    published = sinks.read_tables(spark, out)
+    bank = {r["No."]: r for r in published["Bancolombia"].collect()}
     assert bank[1]["Documento Cartera"] == "DF-1" and bank[1]["marca"] == "empleado"
     assert bank[1]["Novedad"] == "Pago total" and bank[1]["Referencia 2"] == "5"
     assert bank[2]["Novedad"] == "Codeudor:DF-5" and bank[2]["Empresa"] == "Finansueños"
     assert bank[2]["Fecha"] is None and bank[1]["Fecha"] == "02/01/2024"
-    cash = spark.read.parquet(f"{out}/Efecty").first()
+    cash = published["Efecty"].first()
     assert cash["Novedad"] == "Casa" and cash["VALIDACION ULTIMO SALDO"] == "30.0"
 
     sheets = str(tmp_path / "anticipos")
     assert run_advances(spark, found, sheets) == ["FINANSUEÑOS", "SIN CARTERA"]
-    assert spark.read.parquet(f"{sheets}/FINANSUEÑOS").first().marca == "pago total"
+    assert sinks.read_tables(spark, sheets)["FINANSUEÑOS"].first().marca == "pago total"
 
 
-def test_bureau_b_from_file(spark, tmp_path):
+@pytest.mark.parametrize("rejects", [0, 1])
+def test_bureau_b_from_file(spark, tmp_path, rejects):
     def line(number, name):
         cells = {"NUMERO DE IDENTIFICACION": number, "nombre_tercero": name,
                  "numero_obligacion": "DF 1C1", "fecha_inicio": "20240101",
@@ -160,7 +271,7 @@ def test_bureau_b_from_file(spark, tmp_path):
             out[start:end] = cells.get(n, "").ljust(end - start)
         return "".join(out)
 
-    body = ["H", line("000000000000012", "Peña CORREGIR"), line("ABC", "malo"), "T"]
+    body = ["H", line("000000000000012", "Peña CORREGIR"), *[line("ABC", "malo")] * rejects, "T"]
     (tmp_path / "cifras.txt").write_bytes("\n".join(body).encode("cp1252"))
     specs = {
         "Cedulas a corregir": ("`CEDULA MAL` string, `CEDULA CORRECTA` string", [("12", "15")]),
@@ -175,17 +286,21 @@ def test_bureau_b_from_file(spark, tmp_path):
     for i, (name, (ddl, rows)) in enumerate(specs.items()):
         write(spark, tmp_path / f"t{i}", ddl, rows)
         found[name] = read(spark, tmp_path / f"t{i}")
-    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
-    bureau_plan.run_bureau_b(spark, str(tmp_path / "cifras.txt"), found, out, bad)
-    got = spark.read.parquet(out).collect()
-    assert len(got) == 1 and spark.read.parquet(bad).first()["nombre_tercero"] == "malo"
+    out = str(tmp_path / "out")
+    names = bureau_plan.run_bureau_b(spark, str(tmp_path / "cifras.txt"), found, out)
+    assert names == ["records", "rejects"]
+    published = sinks.read_tables(spark, out)
+    got = published["records"].collect()
+    assert len(got) == 1
+    assert [r["nombre_tercero"] for r in published["rejects"].collect()] == ["malo"] * rejects
     r = got[0]
     assert r["NUMERO DE IDENTIFICACION"] == "000000000000015" and r["tipo_identificacion"] == "03"
     assert r["nombre_tercero"] == "NUNEZ ANA".ljust(60)
     assert r["valor_inicial"] == 5000 and r["valor_real_pagado"] == 1 and r["valor_saldo"] == 0
     assert r["fecha_terminacion"] == "20240101" and r["periodicidad"] == "05"
     assert r["ciudad_casa"].strip() == "POPAYAN" and r["numero_obligacion"] == "DF1C1".ljust(20)
-    assert spark.read.parquet(out).where(F.length("correo_electronico") != 60).isEmpty()
+    assert published["records"].where(F.length("correo_electronico") != 60).isEmpty()
+    assert published["records"].columns == published["rejects"].columns
 
 
 def test_trailer_is_found_however_the_file_is_split(spark, tmp_path):
@@ -223,7 +338,7 @@ def test_too_long_values_and_empty_reports_are_refused(spark, tmp_path):
     sinks.write_report(df, path)
     with pytest.raises(ValueError):
         sinks.write_report(df.limit(0), path)
-    assert spark.read.parquet(path).count() == 1
+    assert sinks.read_report(spark, path).count() == 1
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
