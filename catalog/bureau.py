@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.text import space_pad, zero_pad
+from ledgerspark.functions.text import plain_text
 from ledgerspark.operators import bureau
 from ledgerspark.operators.keyed import lookup
+from ledgerspark.plans import bureau as bureau_plan
 from ledgerspark.schemas import LAYOUT_A, LAYOUT_B
-from ledgerspark.session import written
-from ledgerspark.sources.fixed_width import parse_fields, to_lines
+from ledgerspark.session import own_folder, written
+from ledgerspark.sources.fixed_width import (
+    lines_and_rejects, parse_fields, read_records, write_record_files,
+)
+from ledgerspark.sources.tables import ORDINAL, union_all
 
 from .extracts import LINES, ORDERS, lines, orders
 from .registry import query, shown, table
@@ -91,11 +95,11 @@ def _clients(spark: SparkSession, d: str) -> DataFrame:
 
 
 def record_lines(spark: SparkSession, d: str, layout, fields: dict[str, str]) -> DataFrame:
-    """One line per order, written out as the record file would be."""
-    raw = _clients(spark, d).select(*[
+    """One line per order as its record file has it, with the order's key as row order."""
+    raw = _clients(spark, d).select(F.col("o_orderkey").alias(ORDINAL), *[
         F.expr(_COMMON[fields.get(name, "blank")][0]).cast("string").alias(name)
         for name, _, _ in layout])
-    return written(to_lines(raw, layout))
+    return written(lines_and_rejects(raw, layout, keep=[ORDINAL]).select(ORDINAL, "line"))
 
 
 def corrections(spark: SparkSession, d: str) -> bureau.Corrections:
@@ -264,13 +268,13 @@ def _final_b() -> str:
 
 @query("bureau_a", f"WITH {_raw_sql()} SELECT {_final_a()} FROM limpio")
 def q_bureau_a(spark: SparkSession, d: str) -> DataFrame:
-    records = parse_fields(record_lines(spark, d, LAYOUT_A, FIELDS_A), LAYOUT_A)
+    records = parse_fields(record_lines(spark, d, LAYOUT_A, FIELDS_A), LAYOUT_A, keep=[ORDINAL])
     return bureau.clean_bureau_a(records, corrections(spark, d))
 
 
 @query("bureau_b", f"WITH {_raw_sql()} SELECT {_final_b()} FROM limpio")
 def q_bureau_b(spark: SparkSession, d: str) -> DataFrame:
-    records = parse_fields(record_lines(spark, d, LAYOUT_B, FIELDS_B), LAYOUT_B)
+    records = parse_fields(record_lines(spark, d, LAYOUT_B, FIELDS_B), LAYOUT_B, keep=[ORDINAL])
     good, _ = bureau.split_by_id(records)
     return bureau.clean_bureau_b(good, corrections(spark, d))
 
@@ -337,8 +341,8 @@ FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
 def q_id_type(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("id"))
     found = lookup(c, bureau.id_type_table(corrections(spark, d).id_types), ["id"])
-    kind = F.coalesce(F.col("code").cast("string"), F.lit("1"))
-    return found.select("c_custkey", kind.alias("tipo_a"), zero_pad(kind, 2).alias("tipo_b"))
+    return found.select("c_custkey", bureau.id_type_text().alias("tipo_a"),
+                        bureau.id_type_text(width=2).alias("tipo_b"))
 
 
 @query("override_names", r"""
@@ -378,12 +382,90 @@ def q_padded_record_text(spark: SparkSession, d: str) -> DataFrame:
     found = bureau.with_person(
         raw.select("o_orderkey", bureau.id_text("id").alias("num"), F.col("name").alias("nombre"), "month"),
         "num", fixes)
-    fixed = bureau.repair_contacts(found, {"nombre": "name"})
-    return shown(fixed.select("o_orderkey", _record_text().alias("linea")))
-
-
-def _record_text() -> Column:
-    from ledgerspark.functions.text import plain_text
+    fixed = bureau.repair_contacts(found, {"nombre": "name"}).withColumn(
+        "nombre", plain_text(F.coalesce("nombre", F.lit(""))))
+    padded = bureau.pad_fields(fixed, zeros={"num": 11, "month": 3}, blanks={"nombre": 45})
+    layout = [("num", 0, 11), ("nombre", 11, 56), ("month", 56, 59)]
+    return lines_and_rejects(padded, layout, keep=["o_orderkey"]).select(
+        "o_orderkey", F.col("line").alias("linea"))
+
+
+# Names and segments of very different lengths, some in characters that the file cannot hold.
+_EXPORT = [("cliente", 0, 11), ("segmento", 12, 20), ("nombre", 22, 42), ("saldo", 42, 50)]
+
+
+@query("export_records", """
+WITH c AS (
+  SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS cliente, c_mktsegment AS segmento,
+         CASE c_nationkey % 3 WHEN 0 THEN 'Peña “' || c_name || '”' WHEN 1 THEN '名 ' || c_name ELSE c_name END AS nombre,
+         CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS saldo FROM customer),
+j AS (
+  SELECT *, CASE WHEN length(segmento) > 8 THEN 'segmento' WHEN length(nombre) > 20 THEN 'nombre'
+                 WHEN nombre LIKE '名%' THEN 'nombre' END AS campo FROM c)
+SELECT c_custkey, CASE WHEN campo IS NULL THEN rpad(cliente, 11, ' ') || ' ' || rpad(segmento, 8, ' ') || '  '
+         || rpad(nombre, 20, ' ') || rpad(saldo, 8, ' ') END AS line,
+       campo AS field, CASE WHEN campo IS NULL THEN NULL WHEN campo = 'nombre' AND length(nombre) <= 20
+         THEN 'no such character' ELSE 'too long' END AS reason,
+       CASE campo WHEN 'segmento' THEN segmento WHEN 'nombre' THEN nombre END AS value
+FROM j""")
+def q_export_records(spark: SparkSession, d: str) -> DataFrame:
+    nation = F.col("c_nationkey") % 3
+    name = (F.when(nation == 0, F.concat(F.lit("Peña “"), "c_name", F.lit("”")))
+            .when(nation == 1, F.concat(F.lit("名 "), "c_name")).otherwise(F.col("c_name")))
+    rows = table(spark, d, "customer").select(
+        "c_custkey", F.col("c_custkey").cast("string").alias("cliente"),
+        F.col("c_mktsegment").alias("segmento"), name.alias("nombre"),
+        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("saldo"))
+    return lines_and_rejects(rows, _EXPORT, keep=["c_custkey"])
+
+
+@query("record_file_read",
+       f"WITH {_raw_sql()} SELECT {_fields_sql(LAYOUT_A, FIELDS_A)} FROM crudo")
+def q_record_file_read(spark: SparkSession, d: str) -> DataFrame:
+    """The lines as Windows-1252 text files with header and trailer, read back as records."""
+    raw = _clients(spark, d).select("o_orderkey", *[
+        F.expr(_COMMON[FIELDS_A.get(name, "blank")][0]).cast("string").alias(name)
+        for name, _, _ in LAYOUT_A])
+    lines_ = lines_and_rejects(raw, LAYOUT_A, keep=["o_orderkey"])
+    folder = own_folder(spark, "records")
+    write_record_files(lines_, folder, files=7, order=["o_orderkey"])
+    return read_records(spark, folder, LAYOUT_A).drop(ORDINAL)
+
+
+@query("corrections_bundle", """
+WITH c AS (SELECT *, CAST(c_custkey AS VARCHAR) AS id FROM customer)
+SELECT 'bad_ids' AS tabla, id, CAST(c_custkey + 1 AS VARCHAR) AS valor FROM c WHERE c_acctbal < 0
+UNION ALL SELECT 'master', id, c_name FROM c WHERE c_mktsegment <> 'HOUSEHOLD'
+UNION ALL SELECT 'id_types', CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 'opening', CAST(o_orderkey AS VARCHAR), CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) FROM orders
+UNION ALL SELECT 'payments', CAST(l_orderkey AS VARCHAR), CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) FROM lineitem
+UNION ALL SELECT 'names', CAST(s_suppkey AS VARCHAR), s_name FROM supplier WHERE s_nationkey < 5""")
+def q_corrections_bundle(spark: SparkSession, d: str) -> DataFrame:
+    """All five sheets and the names, under the headers that they have in their files."""
+    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
+    o, li = table(spark, d, "orders"), table(spark, d, "lineitem")
+    key = F.col("c_custkey")
 
-    return F.concat(zero_pad("num", 11),
-                    space_pad(plain_text(F.coalesce("nombre", F.lit(""))), 45), zero_pad("month", 3))
+    def sheet(df: DataFrame, **columns: Column) -> DataFrame:
+        return df.select(*[v.alias(k.replace("_", " ") if k.startswith("CEDULA") else k)
+                           for k, v in columns.items()], F.lit(0).alias("_ord"))
+
+    bundle = bureau_plan.corrections({
+        "Cedulas a corregir": sheet(c.where("c_acctbal < 0"), CEDULA_MAL=key, CEDULA_CORRECTA=key + 1),
+        "Vinculado": sheet(c.where("c_mktsegment <> 'HOUSEHOLD'"), CODIGO=key, NOMBRE=F.col("c_name"),
+                           DIRECCI=F.lit("d"), VINEMAIL=F.lit("e"), TELEFONO=F.lit("t")),
+        "Tipos de identificacion": sheet(s, CEDULA_CORRECTA=F.col("s_suppkey"),
+                                         CODIGO=F.col("s_nationkey")).withColumnRenamed("CODIGO", "CODIGO DATA"),
+        "FNZ001": sheet(o, DSM_TP=F.lit("FA"), DSM_NUM=F.col("o_orderkey").cast("double"),
+                        VLR_FNZ=F.col("o_totalprice")),
+        "R05": sheet(li, MCNTIPCRU2=F.lit("FA"), MCNNUMCRU2=F.col("l_orderkey").cast("double"),
+                     ABONO=F.col("l_extendedprice")),
+        "names": sheet(s.where("s_nationkey < 5"), id=F.col("s_suppkey"), full_name=F.col("s_name")),
+    }, bureau_plan.CODE_A)
+    shown_by = {"bad_ids": ("bad", "good"), "master": ("id", "name"), "id_types": ("id", "code"),
+                "opening": ("number", "amount"), "payments": ("number", "amount"), "names": ("id", "full_name")}
+    parts = []
+    for name, (by, value) in shown_by.items():
+        parts.append(getattr(bundle, name).select(F.lit(name).alias("tabla"), F.col(by).cast("string").alias("id"),
+                               F.col(value).cast("string").alias("valor")))
+    return union_all(parts)

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import dates, numbers, text, validity
+from ledgerspark.operators import report
+from ledgerspark.operators.invoices import lender_of_type
 from ledgerspark.schemas import Table
-from ledgerspark.sources import routing, tables
+from ledgerspark.session import own_folder
+from ledgerspark.sources import routing, sinks, tables
 
-from .extracts import ORDERS, kind_of_order, orders
+from .extracts import LINES, ORDERS, kind_of_order, lines, orders
 from .registry import query, shown, table
 
 
@@ -412,4 +415,60 @@ SELECT o_orderkey, credito, empresa FROM ord""")
 def q_lender(spark: SparkSession, d: str) -> DataFrame:
     return orders(spark, d).select(
         "o_orderkey", F.col("Credito").alias("credito"),
-        F.when(kind_of_order() == "DF", "FINANSUEÑOS").otherwise("ARPESOD").alias("empresa"))
+        lender_of_type(kind_of_order()).alias("empresa"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Files in, files out
+# ---------------------------------------------------------------------------------------------
+
+FILES = 200
+
+
+@query("load_many_files", f"""
+WITH {ORDERS}, {LINES}
+SELECT credito AS "Credito", cedula AS "Cedula_Cliente", CAST(l_linenumber AS BIGINT) AS "Cuota_Vigente",
+       CAST(importe AS DOUBLE) AS "Valor_Cuota_Vigente", strftime(l_shipdate, '%Y-%m-%d') AS "Fecha_Cuota_Vigente",
+       CAST({FILES} AS BIGINT) AS archivos
+FROM lin""")
+def q_load_many_files(spark: SparkSession, d: str) -> DataFrame:
+    """Installments as 200 extracts of one type, loaded by path."""
+    folder = own_folder(spark, "extracts")
+    lines(spark, d).select(
+        F.split("Credito", "-")[0].alias("MCNTIPCRU1"), F.col("l_orderkey").cast("string").alias(" MCNNUMCRU1 "),
+        F.col("Cedula_Cliente").alias("MCNVINCULA"), F.col("l_linenumber").alias("MCNCUOCRU1"),
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("VENCE"),
+        F.col("l_extendedprice").alias("SALDODOC"),
+        F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(FILES)).cast("int").alias("VENCIMIENTOS_lote"),
+    ).repartition("VENCIMIENTOS_lote").write.partitionBy("VENCIMIENTOS_lote").parquet(folder)
+    loaded, found = tables.load_extracts(
+        spark, [f"{folder}/VENCIMIENTOS_lote={i}" for i in range(FILES)])
+    read = found.where(F.col("status") == routing.LOADED).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return shown(loaded["VENCIMIENTOS"].select(
+        "Credito", "Cedula_Cliente", "Cuota_Vigente", "Valor_Cuota_Vigente", "Fecha_Cuota_Vigente",
+        read.alias("archivos")))
+
+
+@query("publish_report", """
+SELECT o_orderkey, o_totalprice, CAST(2 AS BIGINT) AS publicaciones FROM orders""")
+def q_publish_report(spark: SparkSession, d: str) -> DataFrame:
+    """A report takes the place of an older one; both publications are known."""
+    folder = own_folder(spark, "reports")
+    sinks.write_report(table(spark, d, "customer"), folder)
+    sinks.write_report(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), folder)
+    known = sinks.publications(spark, folder).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return sinks.read_report(spark, folder).withColumn("publicaciones", known)
+
+
+@query("ensure_column", """
+SELECT c_custkey, 'SIN MORA' AS "Primera_Cuota_Mora", CAST(0 AS DOUBLE) AS "Valor_Vencido",
+       CASE WHEN c_acctbal < 0 THEN 5.0 ELSE c_acctbal END AS "Saldo", CAST(NULL AS BIGINT) AS "Cuotas"
+FROM customer""")
+def q_ensure_column(spark: SparkSession, d: str) -> DataFrame:
+    """Columns that a report lacks are created, those it has are filled."""
+    rows = table(spark, d, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("Saldo"))
+    filled = report.ensure_columns(rows, {
+        "Primera_Cuota_Mora": ("string", "SIN MORA"), "Valor_Vencido": (numbers.MONEY, 0),
+        "Saldo": ("double", 5)})
+    return shown(report.pad_columns(filled, {"Cuotas": "bigint"}))

@@ -67,9 +67,8 @@ SELECT l_orderkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) A
 FROM lineitem GROUP BY l_orderkey""")
 def q_sum_by_key(spark: SparkSession, d: str) -> DataFrame:
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
-    return shown(_money_lines(spark, d).groupBy("l_orderkey").agg(
-        F.sum(amount).alias("total"),
-        F.sum(F.when(F.col("l_returnflag") == "A", amount)).alias("total_a")))
+    return shown(keyed.sum_per_key(_money_lines(spark, d), ["l_orderkey"], {
+        "total": amount, "total_a": F.when(F.col("l_returnflag") == "A", amount)}))
 
 
 @query("membership_flag", """

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark import labels as L
+from ledgerspark.functions.dates import parse_date
 from ledgerspark.operators import (
     arrears, balances, details, goals, installments, invoices, items, report, sellers,
 )
+from ledgerspark.metrics import StepCounts
 from ledgerspark.plans.monthly_base import monthly_base
 from ledgerspark.schemas import MONTHLY_ORDER
 from ledgerspark.session import written
@@ -382,6 +384,40 @@ def q_goal_metrics(spark: SparkSession, d: str) -> DataFrame:
         percent_text("Meta_%").alias("meta_texto")))
 
 
+@query("goal_metrics_empty", f"""
+WITH {ORDERS}
+SELECT credito AS "Credito", CAST(o_totalprice AS DOUBLE) AS "Meta_General", CAST(NULL AS DOUBLE) AS "Meta_%",
+       CAST(NULL AS DOUBLE) AS "Meta_$", CAST(NULL AS DOUBLE) AS "Meta_TR_%", CAST(NULL AS DOUBLE) AS "Meta_TR_$"
+FROM ord""")
+def q_goal_metrics_empty(spark: SparkSession, d: str) -> DataFrame:
+    """A goal table that has no rows for any zone at all."""
+    rows = orders(spark, d).select(
+        "Credito", "Empresa", F.lit("Z").alias("Zona"), F.lit(10).alias("Dias_Atraso"),
+        F.lit(1).alias("Saldo_Capital"), F.lit(1).alias("Saldo_Avales"),
+        F.lit(1).alias("Saldo_Interes_Corriente"), F.col("valor").alias("Meta_DC_Al_Dia"),
+        F.lit(None).cast("decimal(18,2)").alias("Meta_DC_Atraso"),
+        F.lit(0).cast("decimal(18,2)").alias("Meta_Atraso"))
+    none = _goals(table(spark, d, "nation")).where("Zona IS NULL")
+    return shown(goals.goal_metrics(rows, none).select(
+        "Credito", "Meta_General", "Meta_%", "Meta_$", "Meta_TR_%", "Meta_TR_$"))
+
+
+@query("assign_invoice_labels", f"""
+WITH {ORDERS}
+SELECT caso, credito AS "Credito", CASE WHEN empresa = 'ARPESOD' THEN credito ELSE etiqueta END AS "Factura_Venta"
+FROM ord, (VALUES ('sin tabla', 'NO DISPONIBLE'), ('sin filas', 'NO DISPONIBLE'), ('sin fechas', 'ERROR DE FECHA'))
+     t(caso, etiqueta)""")
+def q_assign_invoice_labels(spark: SparkSession, d: str) -> DataFrame:
+    """What credits show where the sales table is absent, empty, or without a readable date."""
+    o = orders(spark, d)
+    sales = o.select("Credito", "Cedula_Cliente", parse_date(F.col("o_orderpriority")).alias("Fecha_Facturada"),
+                     F.col("o_orderkey").alias("ord"))
+    cases = {"sin tabla": None, "sin filas": sales.where("ord < 0"), "sin fechas": sales}
+    parts = [invoices.assign_invoice(o.select("Credito", "Empresa"), found, order=["ord"]).select(
+        F.lit(name).alias("caso"), "Credito", "Factura_Venta") for name, found in cases.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("clear_arrears", f"""
 WITH {ORDERS}, {_DAYS}
 SELECT o_orderkey, CASE WHEN coalesce(d, 0) = 0 THEN 'SIN MORA' ELSE CAST(o_custkey AS VARCHAR) END
@@ -604,3 +640,22 @@ def q_monthly_base_date_range(spark: SparkSession, d: str) -> DataFrame:
                         start="05/06/1998", end="20/06/1998")
     return shown(done.select(
         "Credito", "Fecha_Cuota_Vigente", "Empresa", "Valor_Vencido", "Factura_Venta"))
+
+
+@query("monthly_base_counts", f"""
+WITH todo AS ({MONTHLY_SQL.strip()}),
+pasos AS (SELECT (SELECT count(*) FROM orders) AS base, count(*) AS metas,
+                 count(*) FILTER (WHERE "Fecha_Cuota_Vigente" BETWEEN '05/06/1998' AND '20/06/1998'
+                                  AND "Fecha_Cuota_Vigente" LIKE '%/06/1998') AS fin FROM todo)
+SELECT place, step, 'rows' AS measure, CAST(value AS BIGINT) AS value FROM (
+  SELECT 0 AS place, 'base' AS step, base AS value FROM pasos
+  UNION ALL SELECT 1, 'credits and clients', base FROM pasos
+  UNION ALL SELECT 2, 'sellers and zones', base FROM pasos
+  UNION ALL SELECT 3, 'goals', metas FROM pasos
+  UNION ALL SELECT 4, 'report', fin FROM pasos)""")
+def q_monthly_base_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every step; goals of one zone may be several, and only some dates are reported."""
+    counts = StepCounts()
+    written(monthly_base(monthly_tables(spark, d), as_of=AS_OF, order=KEEP, start="05/06/1998",
+                         end="20/06/1998", counts=counts))
+    return counts.report(spark)

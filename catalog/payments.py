@@ -1,7 +1,7 @@
 """Queries on payments, advances and their marks.
 
-Lender B's accounts are the DF orders of status F, lender A's the FA orders of status O;
-payments and advances are the orders of status P.
+Lender B's accounts are the orders of type DF, lender A's all others; payments and advances are
+orders as well, so a client has several of each.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from .registry import query, shown, table
 ORDER = ["orden"]
 
 
-def _accounts(o: DataFrame, status: str, kind: str) -> DataFrame:
-    return o.where((F.col("o_orderstatus") == status) & (F.col("Tipo_Credito") == kind)).select(
+def _accounts(o: DataFrame, lender: str) -> DataFrame:
+    return o.where(F.col("Empresa") == lender).select(
         F.col("Cedula_Cliente").alias("CEDULA"), F.col("Credito").alias("FACTURA"),
         F.col("valor").alias("SALDO"), F.col("o_orderpriority").alias("CENTRO_COSTO"),
         F.col("o_orderkey").alias("orden"))
@@ -35,8 +35,14 @@ def payment_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     c = table(spark, d, "customer")
     client = c.select(F.col("c_custkey").cast("string").alias("Cedula_Cliente"), "c_mktsegment",
                       "c_acctbal")
-    lender_b, lender_a = _accounts(o, "F", "DF"), _accounts(o, "O", "FA")
+    lender_b, lender_a = _accounts(o, "FINANSUEÑOS"), _accounts(o, "ARPESOD")
     received = o
+    agencies = lender_b.unionByName(lender_a).join(
+        client, F.col("CEDULA") == F.col("Cedula_Cliente")).where("c_acctbal < 2000").select(
+        "FACTURA", F.col("c_mktsegment").alias("CASA COBRANZA"), "orden", "c_acctbal")
+    # Some documents went to a second agency later.
+    again = agencies.where("c_acctbal < 0").withColumns({
+        "CASA COBRANZA": F.concat(F.lit("2 "), "CASA COBRANZA"), "orden": F.col("orden") + 10**9})
     return {
         "AC FS": lender_b,
         "AC ARP": lender_a,
@@ -45,9 +51,7 @@ def payment_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             F.concat(F.when(F.col("valor") > 250000, "DF-").otherwise("FA-"), "o_orderkey")
             .alias("CODEUDOR"),
             F.col("o_orderkey").alias("orden")),
-        "CASA DE COBRANZA": lender_b.unionByName(lender_a)
-        .join(client, F.col("CEDULA") == F.col("Cedula_Cliente")).where("c_acctbal < 2000")
-        .select("FACTURA", F.col("c_mktsegment").alias("CASA COBRANZA"), "orden"),
+        "CASA DE COBRANZA": again.unionByName(agencies).drop("c_acctbal"),
         "EMPLEADOS ACTUALES": c.where("c_mktsegment IN ('HOUSEHOLD', 'FURNITURE')").select(
             F.col("c_custkey").cast("string").alias("vincedula"),
             F.when(F.col("c_mktsegment") == "HOUSEHOLD", " si").otherwise("RETIRADO")
@@ -74,9 +78,9 @@ def portfolio_sql(payments_sql: str, client: str, columns: str) -> str:
     return f"""
 {ORDERS},
 fs AS (SELECT cedula, credito AS factura, valor AS saldo, o_orderpriority AS centro, o_orderkey AS orden
-       FROM ord WHERE o_orderstatus = 'F' AND tipo = 'DF'),
+       FROM ord WHERE tipo = 'DF'),
 arp AS (SELECT cedula, credito AS factura, valor AS saldo, o_orderpriority AS centro, o_orderkey AS orden
-       FROM ord WHERE o_orderstatus = 'O' AND tipo = 'FA'),
+       FROM ord WHERE tipo <> 'DF'),
 codeudores AS (SELECT cedula, CASE WHEN valor > 250000 THEN 'DF-' ELSE 'FA-' END || o_orderkey AS codeudor
                FROM ord WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'),
 casas AS (SELECT factura, c_mktsegment AS casa
@@ -165,8 +169,7 @@ def q_resolve_portfolio(spark: SparkSession, d: str) -> DataFrame:
 
 @query("unified_balances", f"""
 WITH {ORDERS}
-SELECT credito AS "FACTURA FINAL", o_totalprice AS "SALDOS", o_orderpriority AS "CENTRO COSTO" FROM ord
-WHERE (o_orderstatus = 'F' AND tipo = 'DF') OR (o_orderstatus = 'O' AND tipo = 'FA')""")
+SELECT credito AS "FACTURA FINAL", o_totalprice AS "SALDOS", o_orderpriority AS "CENTRO COSTO" FROM ord""")
 def q_unified_balances(spark: SparkSession, d: str) -> DataFrame:
     t = payment_tables(spark, d)
     return shown(payments.document_balances(t["AC ARP"], t["AC FS"], order=ORDER))
@@ -257,7 +260,7 @@ SELECT DISTINCT o_custkey, year(o_orderdate) AS anio, o_orderstatus FROM orders"
 def q_payment_dedupe(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").cast("bigint").alias("anio"),
                                             "o_orderstatus")
-    return rows.distinct()
+    return payments.distinct_payments(rows)
 
 
 @query("format_payments", f"""
@@ -291,11 +294,11 @@ def q_flag_payments(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agency_dedupe", f"""
 WITH {ORDERS}
-SELECT cedula AS "CEDULA", min(credito) FILTER (WHERE rn = 1) AS "FACTURA"
-FROM (SELECT *, row_number() OVER (PARTITION BY cedula ORDER BY o_orderkey) AS rn FROM ord
-      WHERE o_orderstatus = 'F' AND tipo = 'DF') GROUP BY cedula""")
+SELECT credito AS "FACTURA", c_mktsegment AS "CASA COBRANZA"
+FROM ord JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 2000""")
 def q_agency_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    return first_per_key(payment_tables(spark, d)["AC FS"], ["CEDULA"], ORDER, keep=["FACTURA"])
+    agencies = payment_tables(spark, d)["CASA DE COBRANZA"]
+    return first_per_key(agencies, ["FACTURA"], ORDER, keep=["CASA COBRANZA"])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -306,8 +309,8 @@ def q_agency_dedupe(spark: SparkSession, d: str) -> DataFrame:
 def advance_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     o = orders(spark, d)
 
-    def accounts(status: str, kind: str, end: str) -> DataFrame:
-        return _accounts(o, status, kind).select(
+    def accounts(lender: str, end: str) -> DataFrame:
+        return _accounts(o, lender).select(
             F.col("CENTRO_COSTO").alias(f"ZONA_COBRADOR_{end}"),
             F.col("CENTRO_COSTO").alias(f"CENTRO_COSTO_{end}"),
             F.col("FACTURA").alias(f"FACTURA_{end}"), "CEDULA",
@@ -318,25 +321,26 @@ def advance_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
             F.col("o_orderpriority").alias("TIPO_RECIBO"), F.col("o_orderkey").alias("No"),
             F.concat(F.lit(" "), "Cedula_Cliente").alias("CEDULA"),
             F.col("Credito").alias("NOMBRE"), (-F.col("valor")).alias("VALOR")),
-        "AC FS": accounts("F", "DF", "FS"),
-        "AC ARP": accounts("O", "FA", "ARP"),
+        "AC FS": accounts("FINANSUEÑOS", "FS"),
+        "AC ARP": accounts("ARPESOD", "ARP"),
     }
 
 
 ADVANCE_SQL = f"""
 {ORDERS},
 fs AS (SELECT cedula, credito AS factura, valor AS saldo, o_orderpriority AS centro
-       FROM ord WHERE o_orderstatus = 'F' AND tipo = 'DF'),
+       FROM ord WHERE tipo = 'DF'),
 arp AS (SELECT cedula, credito AS factura, valor AS saldo, o_orderpriority AS centro
-       FROM ord WHERE o_orderstatus = 'O' AND tipo = 'FA'),
+       FROM ord WHERE tipo <> 'DF'),
 cruce AS (
   SELECT o_orderpriority, o_orderkey, o.cedula, credito, o.valor,
-         (SELECT count(*) FROM fs f2 WHERE f2.cedula = o.cedula) AS n_fs,
-         (SELECT count(*) FROM arp a2 WHERE a2.cedula = o.cedula) AS n_arp,
+         coalesce(x.n, 0) AS n_fs, coalesce(y.n, 0) AS n_arp,
          fs.factura AS f_fs, fs.saldo AS s_fs, fs.centro AS c_fs,
          arp.factura AS f_arp, arp.saldo AS s_arp, arp.centro AS c_arp,
          coalesce(fs.saldo - o.valor, arp.saldo - o.valor) AS resta
-  FROM ord o LEFT JOIN fs ON fs.cedula = o.cedula LEFT JOIN arp ON arp.cedula = o.cedula),
+  FROM ord o LEFT JOIN fs ON fs.cedula = o.cedula LEFT JOIN arp ON arp.cedula = o.cedula
+  LEFT JOIN (SELECT cedula, count(*) AS n FROM fs GROUP BY 1) x ON x.cedula = o.cedula
+  LEFT JOIN (SELECT cedula, count(*) AS n FROM arp GROUP BY 1) y ON y.cedula = o.cedula),
 anticipos AS (
   SELECT * REPLACE (CASE WHEN obs = 'REVISAR TIENE 2 CARTERAS' THEN 'MAS DE UNA CARTERA' ELSE f_fs END AS f_fs,
                     CASE WHEN obs = 'REVISAR TIENE 2 CARTERAS' THEN 'MAS DE UNA CARTERA' ELSE f_arp END AS f_arp)

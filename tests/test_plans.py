@@ -1,8 +1,12 @@
 """Shape of the physical plans."""
 
+import re
+import sys
+
 import pytest
 
 from catalog import QUERIES
+from check import TABLES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
@@ -13,6 +17,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def final_plan(df):
+    """What ran, with reused parts named and not repeated."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
 @pytest.mark.parametrize("name", ["installment_summary", "assign_invoice", "item_summary",
                                   "goal_metrics", "collections_bank", "classify_advance",
                                   "flag_advances", "bureau_a", "monthly_base"])
@@ -33,6 +43,32 @@ def test_filter_reaches_the_scan(spark):
     assert "EqualTo(o_orderstatus,F)" in plan
 
 
+# These write files as part of what they show.
+WRITERS = {"record_file_read", "load_many_files", "publish_report", "monthly_base_counts"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
+def test_building_a_query_runs_no_job(spark, monkeypatch, name):
+    """But reading schemas, and writing tables that several outputs share."""
+    read = {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in TABLES}
+    for module in [m for n, m in list(sys.modules.items()) if n.startswith(("catalog", "ledgerspark"))]:
+        if hasattr(module, "table") and module.__name__.startswith("catalog"):
+            monkeypatch.setattr(module, "table", lambda spark, d, t: read[t])
+        if hasattr(module, "written"):
+            monkeypatch.setattr(module, "written", lambda df: df)
+    spark.sparkContext.setJobGroup(name, name)
+    QUERIES[name](spark, SF)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+
+
+def test_repeats_are_flagged_with_two_scans(spark):
+    df = QUERIES["dup_flag"](spark, SF)
+    df.collect()
+    scans = re.findall(r"\bScan parquet", final_plan(df))
+    assert len(scans) <= 2
+
+
 def test_windows_only_along_a_calendar(spark):
     """The one window runs over client days; repeats are flagged without one."""
     assert plan_of(QUERIES["assign_invoice"](spark, SF)).count("Window [") == 1
