@@ -31,8 +31,10 @@ from ledgerspark.session import written
 
 #: Units kept per Python worker and pair of vocabularies.
 CACHE = 400_000
-#: Bytes of text per chunk: the documents whose id pairs are counted and marked together.
+#: Bytes of text per chunk: the documents whose id pairs are counted and marked together. They
+#: are aligned in steps, which bounds what a worker holds at a time.
 CHUNK = 1 << 22
+STEP = 1 << 20
 #: The mark of a blank inside the pieces of side B (fixed value).
 BLANK = "▁"
 SHIFT = 32
@@ -258,7 +260,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b)
         for batch in batches:
-            for rows in slices(batch, "text", CHUNK):
+            for rows in slices(batch, "text", STEP):
                 found = both.align(rows.column("text").to_pylist())
                 links = pa.StructArray.from_arrays([pa.array(found.pairs >> SHIFT, pa.int32()), pa.array(found.pairs & ((1 << SHIFT) - 1), pa.int32())], ["a", "b"])
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(found.groups, pa.string()), pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), links)], ["doc_id", "groups", "links"])
@@ -282,12 +284,19 @@ def chunks(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
         long = pa.int64()
         for batch in batches:
             for rows in slices(batch, "text", CHUNK):
-                found = both.align(rows.column("text").to_pylist())
-                pairs, at = np.unique(found.pairs, return_inverse=True)
-                shas = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups]
+                counts, sizes, links, times, shas = [], [], [], [], []
+                for step in slices(rows, "text", STEP):
+                    found = both.align(step.column("text").to_pylist())
+                    counts.append(found.counts)
+                    sizes.append(np.diff(found.bounds))
+                    links.append(found.pairs)
+                    times.append(found.times)
+                    shas += [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups]
+                counts, sizes, links, times = map(np.concatenate, (counts, sizes, links, times))
+                pairs, at = np.unique(links, return_inverse=True)
                 columns = [pa.array([chunk], long), pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id"))]
-                columns += [_one(found.counts[:, k], long) for k in range(4)]
-                columns += [_one(shas, pa.string()), _one(np.diff(found.bounds), pa.int32()), _one(at, pa.int32()), _one(found.times, long), _one(pairs, long), _one(np.bincount(at, minlength=len(pairs)), long)]
+                columns += [_one(counts[:, k], long) for k in range(4)]
+                columns += [_one(shas, pa.string()), _one(sizes, pa.int32()), _one(at, pa.int32()), _one(times, long), _one(pairs, long), _one(np.bincount(at, minlength=len(pairs)), long)]
                 yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in CHUNKS.split(", ")])
                 chunk += 1
 
