@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerspark.operators.keyed import spread_join
 from ledgerspark.session import written
 
 #: Weights of the sources by their order, repeating; share of all words that the mix takes, in
@@ -23,7 +24,7 @@ from ledgerspark.session import written
 WEIGHTS = (5, 2, 1)
 HALVES, MOST = 3, 2
 #: Documents per bucket of keys, at the mean.
-BUCKET = 10_000
+BUCKET = 1_000
 #: Quality weights are held between these. The bound keeps buckets small: none is expected to hold
 #: more than HEAVIEST / LIGHTEST times the mean.
 LIGHTEST, HEAVIEST = 0.25, 4.0
@@ -103,8 +104,18 @@ def targets(light: DataFrame, weights: tuple[int, ...] = WEIGHTS, halves: int =
     return known.select("source", "n", "source_size", target.alias("target"))
 
 
+def _with_goals(light: DataFrame, goals: DataFrame, how_many: DataFrame) -> DataFrame:
+    """Rows of documents with the row of their source; a source of very many rows is dealt to
+    many tasks, by the counts in ``how_many``, and a null source is one like others."""
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("of", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
+
+    counts = named(how_many).select("of", F.col("n").alias("_rows"))
+    return spread_join(named(light), named(goals).drop("source"), ["of"], counts=counts, how="inner").drop("of")
+
+
 def plan(light: DataFrame, goals: DataFrame) -> DataFrame:
-    """``source, source_size, target, copies, edge, rest, tied``, one row per source.
+    """``source, n, source_size, target, copies, edge, rest, tied``, one row per source.
 
     Documents are taken ``copies`` times, those with a key below ``edge`` once more, and those on
     it share ``rest`` words in proportion to their sizes (``tied`` in all; equal rows have equal
@@ -114,9 +125,9 @@ def plan(light: DataFrame, goals: DataFrame) -> DataFrame:
     copies = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long")
     goals = goals.withColumn("copies", copies).withColumn("wanted", words - F.col("copies") * F.col("source_size"))
     goals = written(goals.withColumn("buckets", F.ceil(F.col("n") / BUCKET)))
-    open_goals = goals.where("wanted > 0").select(F.col("source").alias("of"), "wanted", "buckets")
+    open_goals = goals.where("wanted > 0").select("source", "wanted", "buckets")
     spread = F.floor((F.lit(1.0) - F.exp(-F.col("key") * LIGHTEST)) * F.col("buckets"))
-    rows = light.join(open_goals, F.col("source").eqNullSafe(F.col("of"))).select("source", "size", "key", "wanted", F.least(spread, F.col("buckets") - 1).alias("bucket"))
+    rows = _with_goals(light.select("source", "size", "key"), open_goals, goals).select("source", "size", "key", "wanted", F.least(spread, F.col("buckets") - 1).alias("bucket"))
 
     def reached(sums: DataFrame, order: str) -> DataFrame:
         upto = F.sum("words").over(Window.partitionBy("source").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
@@ -126,7 +137,7 @@ def plan(light: DataFrame, goals: DataFrame) -> DataFrame:
     there = there.select(F.col("source").alias("of"), F.col("bucket").alias("at"), (F.col("wanted") - F.col("before")).alias("left"))
     inside = rows.join(there, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at"))).groupBy("source", "key").agg(F.sum("size").alias("words"), F.max("left").alias("wanted"))
     edges = reached(inside, "key").select(F.col("source").alias("of"), F.col("key").alias("edge"), (F.col("wanted") - F.col("before")).alias("rest"), F.col("words").alias("tied"))
-    return goals.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").select("source", "source_size", "target", "copies", "edge", "rest", "tied")
+    return written(goals.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").select("source", "n", "source_size", "target", "copies", "edge", "rest", "tied"))
 
 
 def _extra() -> Column:
@@ -138,8 +149,7 @@ def _extra() -> Column:
 
 def taken(light: DataFrame, planned: DataFrame) -> DataFrame:
     """Adds ``source_size, target, copies, extra, taken`` to rows of ``source, size, key``."""
-    goals = planned.withColumnRenamed("source", "of")
-    joined = light.join(goals, F.col("source").eqNullSafe(F.col("of"))).withColumn("extra", _extra())
+    joined = _with_goals(light, planned.drop("n"), planned).withColumn("extra", _extra())
     return joined.withColumn("taken", F.col("copies") * F.col("size") + F.col("extra")).select(*light.columns, "source_size", "target", "copies", "extra", "taken")
 
 
