@@ -85,8 +85,8 @@ def name_table(names: DataFrame) -> DataFrame:
 def person_table(fixes: Corrections) -> DataFrame:
     """Everything known about a raw identifier: the corrected one, contacts, type, name.
 
-    Built from the corrections alone, so it needs no pass over the records. Many wrong
-    identifiers may lead to one person, hence the spread join.
+    Built from the corrections alone, so it needs no pass over the records. Raw identifiers are
+    distinct, but many wrong ones may lead to one person, hence the spread join.
     """
     pairs = corrected_ids(fixes.bad_ids)
     contacts = contact_master(fixes.master).withColumn("in_master", F.lit(True))
@@ -94,7 +94,7 @@ def person_table(fixes: Corrections) -> DataFrame:
     known = pairs.select("id")
     for table in (contacts, types, names):
         known = known.unionByName(table.select("id"))
-    people = lookup(known.distinct(), pairs, ["id"], rows=["id"]).select(
+    people = known.distinct().join(pairs, "id", "left").select(
         F.col("id").alias("raw"), F.coalesce("good", "id").alias("id")
     )
     return spread_join(people, [contacts, types, names], ["id"], rows=["raw"])

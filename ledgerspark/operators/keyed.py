@@ -7,7 +7,8 @@ Two rules keep these usable when one key holds a large part of all rows:
 * joins that bring a table's rows together by key deal the rows of its heavy keys to
   cells, on either side of the join (``spread_join``).
 
-Nothing here runs a job: which keys are heavy is part of the plan.
+Which keys are heavy is part of the plan; the only job that runs here while a plan is built is
+the write of ``row_counts_of``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import zero_pad
+from ..session import written
 
 # A key is heavy if its rows in the result of a join exceed this, and never below this share of
 # all rows of that result. The share bounds the number of heavy keys: at most 1 / HEAVY_SHARE
@@ -78,6 +80,21 @@ def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return count_per_key(df, keys, "_rows")
 
 
+def row_counts_of(df: DataFrame, *key_lists: Sequence[str]) -> list[DataFrame]:
+    """``row_counts`` for several keys of one table, in one pass that is written once."""
+    columns = list(dict.fromkeys(c for keys in key_lists for c in keys))
+    counted = written(df.groupingSets([list(keys) for keys in key_lists], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")))
+
+    def own(keys: Sequence[str]) -> DataFrame:
+        # A grouping id has a bit for every column that is not part of the set.
+        number = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        mine = counted.where(F.col("_set") == number).dropna(subset=list(keys))
+        return mine.select(*keys, "_rows")
+
+    return [own(keys) for keys in key_lists]
+
+
 def _cell_side(counts: Sequence[Column], limit: Column) -> Column:
     """Rows of one table that a cell may hold so that the product over all tables, where a
     table cannot give more than it has, comes to ``limit``."""
@@ -169,30 +186,40 @@ def spread_join(
     def size(i: int) -> Column:
         return F.coalesce(F.col("_parts")[i], F.lit(1))
 
-    def placed(df: DataFrame, own: int | None, names: Sequence[str] = ()) -> DataFrame:
-        """Rows with their cells: their own part of table ``own``, all parts of the others."""
+    def columns(df: DataFrame) -> list[Column]:
+        return [F.col(f"`{c}`") for c in df.columns]
+
+    def placed(
+        df: DataFrame, own: int | None, names: Sequence[str] = (), blank: Column | None = None
+    ) -> DataFrame:
+        """Rows with their cells: their own part of table ``own``, all parts of the others.
+        A left row with a null key has any cell."""
         out, cell = df.join(heavy, keys, "left"), F.lit(0)
         for i in range(1 + len(many)):
             if i == own:
                 row = F.xxhash64(*[F.col(f"`{c}`") for c in names])
-                out = out.withColumn(f"_part_{i}", F.pmod(row, size(i)).cast("int"))
+                part = F.pmod(row, size(i)).cast("int")
             else:
-                out = out.withColumn(f"_part_{i}", F.explode(F.sequence(F.lit(0), size(i) - 1)))
-            cell = cell * size(i) + F.col(f"_part_{i}")
-        return out.withColumn(_CELL, cell).drop(*[f"_part_{i}" for i in range(1 + len(many))])
+                part = F.explode(F.sequence(F.lit(0), size(i) - 1))
+                if many:
+                    out = out.withColumn(f"_part_{i}", part)
+                    part = F.col(f"_part_{i}")
+            cell = cell * size(i) + part if i else part
+        if blank is not None:
+            free = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(int(1 / HEAVY_SHARE)))
+            cell = F.when(blank, free.cast("int")).otherwise(cell)
+        split = [(size(i + 1) > 1).alias(f"_split_{i}") for i in range(len(many))] if own == 0 else []
+        return out.select(*columns(df), cell.alias(_CELL), *split)
 
     blank = reduce(operator.or_, [F.col(f"`{k}`").isNull() for k in keys])
     told = [*rows] if rows is not None else packed.columns
-    free = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in told]), F.lit(int(1 / HEAVY_SHARE)))
-    out = placed(packed, 0, told).withColumns(
-        {_CELL: F.when(blank, free.cast("int")).otherwise(F.col(_CELL))}
-        | {f"_split_{i}": size(i + 1) > 1 for i in range(len(many))}).drop("_parts")
+    out = placed(packed, 0, told, blank)
     for one in rights:
-        out = out.join(placed(one.dropna(subset=keys), None).drop("_parts"), [*keys, _CELL], how)
+        out = out.join(placed(one.dropna(subset=keys), None), [*keys, _CELL], how)
     times = [] if rows is not None else [F.col(_TIMES)]
     for i, one in enumerate(many):
         table = collapsed(one)
-        cut = placed(table, i + 1, table.columns).drop("_parts", _PIECE)
+        cut = placed(table, i + 1, table.columns).drop(_PIECE)
         out = out.join(cut.withColumnRenamed(_TIMES, f"{_TIMES}_{i}"), [*keys, _CELL], how)
         # A cell of a split key may lack this table's rows; the key has some in other cells.
         out = out.where(~F.col(f"_split_{i}") | F.col(f"{_TIMES}_{i}").isNotNull())

@@ -18,6 +18,9 @@ _BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 _AS_READ = "".join(chr(b) for b in _BYTES)
 _AS_MEANT = "".join(bytes([b]).decode("cp1252") for b in _BYTES)
 
+# Every character that a line may hold.
+_PRINTED = "".join(map(chr, [*range(0x20, 0x7F), *range(0xA0, 0x100)])) + _AS_MEANT
+
 
 def from_windows_1252(c: Column | str) -> Column:
     """Text that was decoded as ISO-8859-1 to what its Windows-1252 bytes mean."""
@@ -58,8 +61,7 @@ def to_windows_1252(c: Column | str) -> Column:
 
 def fits_windows_1252(c: Column) -> Column:
     """Whether all characters of a text have a byte, and none of them ends a line."""
-    plain = F.translate(c, _AS_MEANT, "")
-    return ~plain.rlike("[^\\x20-\\x7e\\u00a0-\\u00ff]")
+    return F.length(F.translate(c, _PRINTED, "")) == 0
 
 
 def _text_options(io):
@@ -129,28 +131,23 @@ def lines_and_rejects(
     the order of places, ``reason`` says whether its value is longer than the field or has a
     character that the file cannot hold, and ``value`` shows it. One pass gives both outputs.
     """
-    by_place = sorted(layout, key=lambda f: f[1])
-    parts, at, problems = [], 0, []
-    for name, start, end in by_place:
+    parts, at, fields = [], 0, []
+    for name, start, end in sorted(layout, key=lambda f: f[1]):
         value, width = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")), end - start
         if start > at:
             parts.append(F.lit(" " * (start - at)))
-        parts.append(F.when(F.length(value) > width, value).otherwise(F.rpad(value, width, " ")))
-        problems.append(F.when(
-            F.length(value) > width,
-            F.struct(F.lit(name).alias("field"), F.lit("too long").alias("reason"), value.alias("value"))
-        ).when(
-            ~fits_windows_1252(value),
-            F.struct(F.lit(name).alias("field"), F.lit("no such character").alias("reason"), value.alias("value"))
-        ))
+        parts.append(F.rpad(value, F.greatest(F.length(value), F.lit(width)), F.lit(" ")))
+        fields.append(F.struct(F.lit(name).alias("field"), F.lit(width).alias("width"), value.alias("value")))
         at = end
-    line = F.concat(*parts)
-    good = (F.length(line) == at) & fits_windows_1252(line)  # else look at field by field
-    problem = F.when(~good, F.coalesce(*problems))
-    judged = records.select(*keep, problem.alias("problem"), line.alias("line"))
+    # A line of the right length without odd characters is good; only else its fields are judged.
+    bad = F.filter(F.array(*fields), lambda f: (F.length(f["value"]) > f["width"]) | ~fits_windows_1252(f["value"]))
+    wrong = F.when((F.length("line") != at) | ~fits_windows_1252(F.col("line")), bad[0])
+    judged = records.select(*keep, F.concat(*parts).alias("line"), *[F.col(f"`{n}`") for n, _, _ in layout]).select(
+        *keep, "line", wrong.alias("wrong"))
+    long = F.length("wrong.value") > F.col("wrong.width")
     return judged.select(
-        *keep, F.when(F.col("problem").isNull(), F.col("line")).alias("line"),
-        "problem.field", "problem.reason", "problem.value")
+        *keep, F.when(F.col("wrong").isNull(), F.col("line")).alias("line"), "wrong.field",
+        F.when(long, F.lit("too long")).when(~long, F.lit("no such character")).alias("reason"), "wrong.value")
 
 
 def to_lines(records: DataFrame, layout: Layout) -> DataFrame:

@@ -329,3 +329,47 @@ def test_opening_value_is_not_scaled_by_text(spark):
                                "kind string, number string, amount decimal(18,2), _ord int")
     got = dict(map(tuple, bureau.opening_values(df).collect()))
     assert got == {"DF1": 1234, "DF1C1": 1234, "DF1C2": 1234}
+
+
+def test_bureau_a_loses_symbols_in_identifier_and_dates(spark):
+    from ledgerspark.operators import bureau
+    from ledgerspark.schemas import LAYOUT_A
+
+    cells = {bureau.A_ID: "900.123-4", "FECHA APERTURA": "2024-01-05", "FECHA VENCIMIENTO": "2024/03/01",
+             "FECHA DE PAGO": "x", bureau.A_ACCOUNT: "FA 1", "VALOR SALDO MORA": "25000", bureau.A_EMAIL: "a.b@mail.co"}
+    schema = ", ".join(f"`{n}` string" for n, _, _ in LAYOUT_A)
+    records = spark.createDataFrame([tuple(cells.get(n) for n, _, _ in LAYOUT_A)], schema)
+
+    def table(ddl, *rows):
+        return spark.createDataFrame(list(rows), ddl)
+
+    fixes = bureau.Corrections(
+        bad_ids=table("bad string, good string, _ord int"),
+        master=table("id string, name string, address string, email string, phone string, _ord int"),
+        id_types=table("id string, code string, _ord int", ("900.123-4", "31", 0)),
+        opening=table("kind string, number string, amount decimal(18,2), _ord int"),
+        payments=table("kind string, number string, amount double, _ord int", (" FA", "1 ", 30000.0, 0), ("FA", "1", 4500.0, 1)),
+        names=table("id string, full_name string, _ord int"))
+    row = bureau.clean_bureau_a(records, fixes).first()
+    assert row[bureau.A_ID] == "00009001234" and row["TIPO DE IDENTIFICACION"] == "31"
+    assert (row["FECHA APERTURA"], row["FECHA VENCIMIENTO"], row["FECHA DE PAGO"]) == ("20240105", "20240301", "00000000")
+    assert row[bureau.A_EMAIL].strip() == "a.b@mail.co" and row["VALOR SALDO MORA"] == 25000
+    paid = bureau.clean_bureau_a(records, fixes, apply_payments=True).first()
+    assert paid["VALOR SALDO MORA"] == 34500
+
+
+def test_payments_with_a_row_id_stay_apart(spark):
+    from ledgerspark.operators.payments import distinct_payments
+
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (2, "a", 5)], "id int, client string, amount int")
+    assert distinct_payments(df).count() == 2
+    assert distinct_payments(df.drop("id")).count() == 1
+    assert distinct_payments(df, row_id=["id"]).count() == 2
+
+
+def test_a_report_without_installment_columns_gets_them(spark):
+    from ledgerspark.operators.report import finalize_report
+
+    done = finalize_report(spark.createDataFrame([("FA-1",)], "Credito string"), ["Credito", "Valor_Vencido"])
+    row = done.first()
+    assert row.Valor_Vencido == 0 and row.Cuota_Vigente == "VIGENCIA EXPIRADA" and row.Fecha_Cuota_Atraso == "SIN MORA"

@@ -159,9 +159,11 @@ def test_monthly_base_from_files(spark, tmp_path):
                                                     ("FA", "1", "20/06/2024", 10.0, 2)])
     odd = write(spark, tmp_path / "otro", "x int", [(1,)])
     out = str(tmp_path / "out")
-    loaded = run_monthly_base(spark, [r91, due, odd, str(tmp_path / "SC04 falta")], out,
-                              as_of="2024-06-15")
-    states = {os.path.basename(r.path): r.status for r in loaded.collect()}
+    done = run_monthly_base(spark, [r91, due, odd, str(tmp_path / "SC04 falta")], out,
+                            as_of="2024-06-15")
+    states = {os.path.basename(r.path): r.status for r in done.files.collect()}
+    assert [(r.step, r.value) for r in done.steps.orderBy("place").collect()] == [
+        (step, 2) for step in ("base", "credits and clients", "sellers and zones", "goals", "report")]
     assert states == {"R91 mayo": "loaded", "VENCIMIENTOS": "loaded", "otro": "skipped",
                       "SC04 falta": "failed"}
     got = {r.Credito: r for r in sinks.read_report(spark, out).collect()}
@@ -219,6 +221,13 @@ def test_rows_are_skipped_in_every_sheet_of_a_scan(spark, tmp_path):
     assert sorted(r.Zona for r in loaded["MATRIZ_CARTERA"].collect()) == [f"{k}-{i}" for k in range(3) for i in (2, 3, 4)]
 
 
+def test_without_a_base_nothing_is_computed(spark, tmp_path):
+    due = write(spark, tmp_path / "VENCIMIENTOS", "MCNTIPCRU1 string, MCNNUMCRU1 string", [("FA", "1")])
+    with pytest.raises(ValueError, match="base"):
+        run_monthly_base(spark, [due], str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
 def read(spark, path):
     return tables.with_file_order(spark.read.parquet(str(path)))
 
