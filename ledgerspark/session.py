@@ -57,4 +57,16 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     place = own_folder(spark, "tables")
     df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    table = spark.read.schema(df.schema).parquet(place)
+    table.written_to = place
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Frees the disk of written tables that nothing will read any more.
+
+    Call it once all that was derived from them is itself written or collected.
+    """
+    for table in tables:
+        empty = table.sparkSession.createDataFrame([], table.schema)
+        empty.write.mode("overwrite").parquet(table.written_to)
