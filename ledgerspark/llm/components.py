@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.session import written
+from ledgerspark.session import release, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     while True:
-        edges = written(_small_star(_large_star(edges)))
+        before, edges = edges, written(_small_star(_large_star(edges)))
+        release(before)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -195,7 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a test item, each judged by its own text; a null id is always kept."""
+    """``docs`` without the rows that hold a test item, each judged by its own text; so are rows without id."""
     schema = docs.schema
     for index in _indexes(benchmark, "item_id", "text"):
         shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by SHARD items
@@ -205,7 +205,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                 for rows in slices(batch, text_col):
                     keep = np.ones(rows.num_rows, bool)
                     keep[[row for row, *_ in shared.value.verified(*word_hashes(*utf8(rows.column(text_col)), PUNCTUATION))]] = False
-                    keep |= np.array(rows.column(id_col).is_null())
                     yield rows.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, schema)

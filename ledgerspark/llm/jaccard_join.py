@@ -19,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerspark.llm.components import components
 from ledgerspark.llm.hashing import mix, row_of, shingle_hashes, slices, utf8, word_hashes
-from ledgerspark.session import written
+from ledgerspark.session import release, written
 
 #: Wide fragments in which overlaps are counted.
 WIDE = 4
@@ -262,9 +263,11 @@ def linked(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id", tex
     degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     pivots = shared.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p")).select("key", F.col("p.node").alias("a"))
     members = written(shared.join(pivots, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    release(shared)
     if members.isEmpty():
         return rows, classes.select("node", "doc_id", F.col("node").alias("root"))
     stars = counted(members)
+    release(members)
     roots = components(stars.where("linked").select("a", "b"))
     more = written(_open_pairs(stars, roots, met, percent))
     if not more.isEmpty():
@@ -285,7 +288,7 @@ def _open_pairs(stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFr
     known = stars.join(named, "b", "left").select("a", "b", "overlap", F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"))
     # Groups around a pivot in which everyone is connected need nothing more.
     open_stars = known.groupBy("a").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("a")
-    known = written(known.join(open_stars, "a"))
+    known = known_stars = written(known.join(open_stars, "a"))
 
     def two(rows: DataFrame, on: list[str], and_also: str) -> DataFrame:
         x, y = (rows.select(*on, *[F.col(c).alias(f"{s}_{c}") for c in rows.columns if c not in on]) for s in "xy")
@@ -298,15 +301,23 @@ def _open_pairs(stars: DataFrame, roots: DataFrame, met, percent: int) -> DataFr
     main = known.join(star, "a").groupBy("b").agg(F.max(F.struct("star", "a")).alias("m")).select("b", F.col("m.a").alias("main"))
     known = known.join(main, "b")
     mixed = known.groupBy("a").agg(F.min("main").alias("x"), F.max("main").alias("y")).where("x <> y OR x = a").select("a")
-    known = written(known.join(mixed, "a"))
+    wide, known = known_stars, written(known.join(mixed, "a"))
+    release(wide)
     enough = f"{100 + percent} * least(x_overlap, y_overlap) >= {percent} * (x_n + y_n)"
     likely = known.where(f"100 * overlap >= {percent} * n")
     from_pivot = two(likely, ["a"], enough)
-    reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_n - x_overlap, y_n - y_overlap)) >= {percent} * (x_n + y_n)"
+
+    # The runs beside the pivot, rarest first: a run that one node alone has meets nobody, but
+    # takes a place among the first; one that many share is hardly ever among them.
+    lacking = written(met(written(known.select("a", "b"))).groupBy("a", "b").agg(F.array_distinct(F.flatten(F.collect_list(F.array_except("in_b", "in_a")))).alias("runs")))  # repeated rows count once
+    each = lacking.select("a", "b", F.size("runs").alias("beside"), F.explode("runs").alias("run"))
+    held = each.groupBy("a", "run").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    own = Window.partitionBy("a", "b")
+    each = each.join(held, ["a", "run"]).select("a", "b", "run", F.count(F.lit(1)).over(own).alias("common"), (F.col("beside") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("held", "run"))).alias("place"), "beside")
     first = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    lacking = met(written(known.select("a", "b"))).groupBy("a", "b").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.array_except("in_b", "in_a"))))).alias("runs"))  # repeated rows count once
-    beside = known.join(lacking, ["a", "b"]).withColumn("whole", F.size("runs") <= 3 * first)
-    beside = beside.withColumn("run", F.explode(F.when(F.col("whole"), F.col("runs")).otherwise(F.slice("runs", F.lit(1), first)))).drop("runs")
+    beside = written(known.join(each, ["a", "b"]).where(F.col("place") <= first).withColumn("whole", F.col("beside") <= first).drop("place", "beside"))
+    release(lacking)
+    reachable = f"{100 + percent} * (least(x_overlap, y_overlap) + least(x_common, y_common)) >= {percent} * (x_n + y_n)"
     common = two(beside, ["a", "run"], reachable).groupBy("a", "x_b", "y_b").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x_overlap", "y_overlap")).alias("least"), F.min(F.col("x_n") + F.col("y_n")).alias("n"), F.min(F.col("x_whole") & F.col("y_whole")).alias("whole"))
     # Where all runs beside the pivot were compared, their number is known.
     gained = common.where(f"NOT whole OR {100 + percent} * (least + k) >= {percent} * n")

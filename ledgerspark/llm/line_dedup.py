@@ -56,9 +56,10 @@ def spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str = "doc_id"
     return sure.unionByName(checked)
 
 
-def without_spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """``docs`` with the text freed of boilerplate, and ``n_lines`` and ``removed_lines``.
+def without_spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", counts: tuple[str, str] = ("n_lines", "removed_lines")) -> DataFrame:
+    """``docs`` with the text freed of boilerplate, and two counts: its lines, and those removed.
 
+    Columns of ``docs`` that are named like the counts give way to them; any other name may occur.
     Every row comes back once; other columns are untouched. A null text stays null with 0 lines;
     blank lines stay; repeated rows lose the same lines, different texts of one id (or of none)
     each their own; a null id keeps nothing for itself (its lines are removed if they are
@@ -67,13 +68,13 @@ def without_spread_lines(docs: DataFrame, min_sites: int = SITES, id_col: str =
     spread = written(spread_lines(docs, min_sites, id_col, text_col, site_col))
     lines = _lines(docs, id_col, text_col, site_col)
     hits = (lines.join(spread, ["key", "key2"]).where(F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("id")))
-            .groupBy("id", "content").agg(F.collect_set("pos").alias("hits")).select(F.col("id").alias("__id"), F.col("content").alias("__content"), "hits"))
+            .groupBy("id", "content").agg(F.collect_set("pos").alias("__hits")).select(F.col("id").alias("__id"), F.col("content").alias("__content"), "__hits"))
     joined = docs.join(hits, docs[id_col].eqNullSafe(F.col("__id")) & (_content(docs[text_col]) == F.col("__content")), "left")
-    split, drop = _split(F.col(text_col)), F.coalesce("hits", F.array().cast("array<int>"))
-    kept = F.concat_ws("\n", F.filter(split, lambda line, i: ~F.array_contains(F.col("hits"), i)))
-    text = F.when(F.col(text_col).isNull() | F.col("hits").isNull(), F.col(text_col)).otherwise(kept)
+    split, drop = _split(F.col(text_col)), F.coalesce("__hits", F.array().cast("array<int>"))
+    kept = F.concat_ws("\n", F.filter(split, lambda line, i: ~F.array_contains(F.col("__hits"), i)))
+    text = F.when(F.col(text_col).isNull() | F.col("__hits").isNull(), F.col(text_col)).otherwise(kept)
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split))
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns], n.alias("n_lines"), F.size(drop).alias("removed_lines"))
+    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns if c not in counts], n.alias(counts[0]), F.size(drop).alias(counts[1]))
 
 
 #: DuckDB SQL for the query over documents.

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ledgerspark.llm import components, decontamination, hashing, jaccard_join, language_id, license_scan, line_dedup, nearest, packing, substring_dedup, token_files, tokens, toxicity
 from ledgerspark.llm.queries import vocabulary
@@ -44,17 +45,17 @@ def test_word_hashes_do_not_depend_on_chunks(monkeypatch):
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_ids_are_those_of_the_library(name):
-    encoder = tokens.Encoder(vocabulary(name), most=40)
-    texts = ODD + [" ".join(words(30, s)) + ".\nNext, line's end" for s in range(5)]
+    encoder, plain = tokens.Encoder(vocabulary(name), most=40), Tokenizer.from_file(vocabulary(name))
+    texts = ODD + ["a <|endoftext|><|startoftext|> b", "<|startoftext|>"] + [" ".join(words(30, s)) + ".\nNext, line's end" for s in range(5)]
     for _ in range(2):
         for text, ids in zip(texts, encoder.encode(texts)):
-            assert np.frombuffer(ids, "<u4").tolist() == (encoder.tokenizer.encode(text, add_special_tokens=False).ids if text else [])
+            assert np.frombuffer(ids, "<u4").tolist() == (plain.encode(text, add_special_tokens=False).ids if text else [])
 
 
 def test_token_files_round_trip(spark):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(3, "again"), (None, "no id"), (99, " ".join(words(3000, 2)))]
     path = vocabulary("byte_bpe_50k.json")
-    tokenizer = tokens.Encoder(path).tokenizer
+    tokenizer = Tokenizer.from_file(path)
     want, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
@@ -100,7 +101,7 @@ def test_pieces_hold_whole_texts(spark):
     path = vocabulary("word_bpe_49k.json")
     rows = [(i, t) for i, t in enumerate(ODD)] + [(1, ""), (50, " ".join(words(500, 3)))]
     out = packing.packed_documents(documents(spark, rows), path, 64).collect()
-    tokenizer = tokens.Encoder(path).tokenizer
+    tokenizer = Tokenizer.from_file(path)
     for i, t in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
         mine = sorted({(r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out if r["doc_id"] == i})
@@ -241,7 +242,7 @@ def test_decontamination(spark):
     rows += [(100, filler + " " + items[0][1] + " " + filler), (101, items[1][1].upper()), (102, filler), (103, " ".join(words(20, 1)) + " " + filler), (104, items[0][1] + " " + items[1][1]), (None, items[1][1])]
     got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(documents(spark, rows), bench).collect()}
     assert got == {(5, 5), (100, 1), (101, 2), (104, 1), (104, 2), (None, 2)}
-    assert {r["doc_id"] for r in decontamination.decontaminated(documents(spark, rows), bench).collect()} == {r[0] for r in rows} - {5, 100, 101, 104}
+    assert {r["doc_id"] for r in decontamination.decontaminated(documents(spark, rows), bench).collect()} == {r[0] for r in rows} - {5, 100, 101, 104, None}
     assert decontamination.contaminated(documents(spark, rows), bench.limit(0)).count() == 0
 
 
@@ -387,6 +388,64 @@ def test_toxicity_on_held_out(spark):
     assert len(odd) == len(ODD) and all(r["predicted"] == 0 for r in odd)
 
 
+def test_lines_of_tables_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, f"shared line\nown {i}", f"s{i}", 1, 2, 3, 4, 5, 6) for i in range(4)], "doc_id long, text string, source string, hits int, n_lines int, removed_lines int, pos int, id int, n_chars int")
+    got = line_dedup.without_spread_lines(docs, min_sites=4)
+    assert sorted((r.doc_id, r.text, r.hits, r.n_lines, r.removed_lines) for r in got.collect()) == [(0, "shared line\nown 0", 1, 2, 0)] + [(i, f"own {i}", 1, 2, 1) for i in (1, 2, 3)]
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_boilerplate(spark, docs, SF)
+    assert kept.columns == docs.columns and {r.n_lines for r in kept.collect()} == {2}
+
+
+def test_near_duplicates_go_by_row(spark):
+    """Different texts of one id, rows without id, equal rows, blank rows, clashing names."""
+    import corpus_pipeline
+
+    t, u, v = (" ".join(words(30, k)) for k in (1, 2, 3))
+    near = " ".join([*t.split()[:-1], "changed"])
+    rows = [(1, t), (5, t), (5, u), (None, v), (None, v), (7, v), (None, near), (8, None), (9, ""), (9, ""), (None, None), (6, "lone text"), (6, "lone text")]
+    docs = documents(spark, rows)
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    want = [(1, t), (5, u), (7, v), (8, None), (9, ""), (None, None), (6, "lone text")]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
+def test_stars_of_edited_copies_match_brute_force(spark):
+    """One original, families of copies with shared and with own edits, and a phrase in all."""
+    rng = random.Random(9)
+    phrase, base = words(12, 50), words(60, 51)
+    texts = [base + phrase]
+    for family in range(6):
+        edit = words(5, 60 + family)
+        for k in range(12):
+            text = list(base)
+            at = 8 * family
+            text[at:at + 5] = edit
+            for _ in range(rng.randrange(0, 5)):
+                text[rng.randrange(60)] = words(1, rng.randrange(10**6))[0]
+            texts.append(text + phrase)
+    texts += [words(40, 200 + k) + phrase for k in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = [{tuple(t[i:i + 4]) for i in range(len(t) - 3)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert len(set(got.values())) > 35
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
