@@ -25,20 +25,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines spread over many sites; a document of nothing else goes with them."""
-    out = line_dedup.without_spread_lines(docs)
-    kept = out.where((F.col("removed_lines") == 0) | (F.trim(F.regexp_replace("text", "\n", " ")) != ""))
-    return kept.withColumn("n_chars", F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    out = line_dedup.without_spread_lines(docs, counts=("__lines", "__removed"))
+    kept = out.where((F.col("__removed") == 0) | (F.trim(F.regexp_replace("text", "\n", " ")) != ""))
+    return kept.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays; repeated rows of it stay as well."""
-    found = jaccard_join.jaccard_components(docs, SIZE, PERCENT)
-    gone = written(found.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group the row with the smallest id stays, a null id last; ties go by a hash of the text.
+
+    Rows are told apart by id and whole text, so different texts of one id, or of none, are
+    documents of their own; of equal rows one stays. Rows without words stay, once each.
+    """
+    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    keyed = docs.withColumn("__row", row)
+    rows = written(keyed.groupBy("__row").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
+    found = jaccard_join.jaccard_components(keyed, SIZE, PERCENT, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    first = found.join(rows, "__row").groupBy("component_id").agg(F.min_by("__row", order).alias("__row")).select("__row")
+    marked = written(rows.join(first.withColumn("stays", F.lit(True)), "__row", "left").select("__row", "stays", "n").where("stays IS NULL OR n > 1"))
+    others = keyed.join(marked.select("__row"), "__row", "left_anti")
+    repeated = keyed.join(marked.where("stays").select("__row"), "__row", "left_semi").dropDuplicates(["__row"])
+    return others.unionByName(repeated).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a test item."""
+    """Drops every row that holds a test item, with or without an id."""
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
