@@ -19,7 +19,8 @@ BLANKS[[32, *range(9, 14)]] = True
 #: Separators of a bare word: every ASCII character but letters and digits.
 PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
-_LOWER = np.arange(256, dtype=np.uint8)
+SAME = np.arange(256, dtype=np.uint8)
+_LOWER = SAME.copy()
 _LOWER[65:91] += 32
 
 
@@ -62,7 +63,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE) -> Iter
         at = end
 
 
-def _hash_chunk(raw: np.ndarray, edges: np.ndarray, blanks: np.ndarray, heads: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+def _hash_chunk(raw: np.ndarray, edges: np.ndarray, blanks: np.ndarray, heads: tuple[int, ...], fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and starts of the words of a chunk; ``edges``: where rows begin in it."""
     word = ~blanks[raw]
     first = word.copy()
@@ -75,14 +76,16 @@ def _hash_chunk(raw: np.ndarray, edges: np.ndarray, blanks: np.ndarray, heads: t
     start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
     up, down = (_UP, _DOWN) if len(raw) <= CHUNK else (_powers(BASE, len(raw)), _powers(_BASE_INVERSE, len(raw)))
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+    np.cumsum((fold[raw].astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
     stops = [stop, *(np.minimum(stop, start + n) for n in heads)]
     hashes = [mix((total[e] - total[start]) * down[start] + (e - start).astype(np.uint64)) for e in stops]
     return np.stack(hashes, axis=1) if heads else hashes[0], start
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray, blanks: np.ndarray = BLANKS, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
-    """One hash per word (A-Z as a-z), row after row, and the place of each row's first word.
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, blanks: np.ndarray = BLANKS, heads: tuple[int, ...] = (), fold: np.ndarray = _LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """One hash per word, row after row, and the place of each row's first word.
+
+    Bytes are folded first: by default A-Z count as a-z.
 
     With ``heads``, further columns hold the hashes of the words' first bytes, so many each.
 
@@ -99,7 +102,7 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray, blanks: np.ndarray = BLANKS
                 break
             end = min(len(raw), end + 4096)
         a, b = np.searchsorted(bounds, [at, end])
-        h, s = _hash_chunk(raw[at:end], bounds[a:b] - at, blanks, heads)
+        h, s = _hash_chunk(raw[at:end], bounds[a:b] - at, blanks, heads, fold)
         hashes.append(h)
         starts.append(s + at)
         at = end
