@@ -337,6 +337,18 @@ def test_license_scan(spark):
     assert license_scan.scan(documents(spark, [])).count() == 0
 
 
+def test_license_scan_counts_scattered_runs_of_long_texts(spark):
+    """Every run alone is retrieved, at odd and even places, and the parts of a text count together."""
+    short = license_scan.template_words(license_scan.NOTICES["MIT"][0])
+    notice = license_scan.template_words(license_scan.NOTICES["CC-BY-4.0"][0])
+    half = len(notice) // 2
+    parts = notice[:half + 2] + words(20_001, 90) + notice[half - 2:]
+    rows = [(i, " ".join(words(i, 91) + short + words(i % 3, 92))) for i in range(40)] + [(None, " ".join(parts)), (50, " ".join(notice[:half]))]
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["license"], r["first_word"]) for r in license_scan.scan(documents(spark, rows)).collect())
+    assert got == [(False, i, "MIT", i) for i in range(40)] + [(True, None, "CC-BY-4.0", 0)]
+    assert got and license_scan.scan(documents(spark, rows), containment=1.0).count() == 41
+
+
 def test_language_id(spark):
     out = language_id.language_id(spark.read.parquet(f"{SF}/documents.parquet"))
     true = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
