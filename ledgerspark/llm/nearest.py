@@ -6,8 +6,13 @@ range), a query is scaled to length 1. Each table hashes a vector by
 floor((a . x + b) / w) under normally distributed a. A query visits its own bucket and buckets
 perturbed by one step in some coordinates, in the order of their expected distance to the
 query; candidates of all tables and ranges are ranked by the exact inner product in double precision.
-Ranges of few vectors are compared exactly with every query, and so are all vectors with a query
-for which the buckets held fewer candidates than it asks for.
+
+Vectors are dealt to blocks of about ``BLOCK``, and every block has its own buckets, so what a
+query finds in a block does not depend on the size of the table. Queries meet the blocks in
+rounds: one block first, then as many more as it has met so far. From the second round on a
+block reports only what is no worse than the worst of the best that the query has already, so
+about as many rows leave a round as there are answers. A query whose buckets held fewer than
+``ENOUGH`` vectors of a block is compared with the whole block: too few to tell near from far by.
 
 Equal vectors are one candidate, which stands for its smallest ids.
 """
@@ -26,19 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerspark.llm.hashing import mix
-from ledgerspark.session import written
+from ledgerspark.session import release, written
 
 #: Tables, coordinates per hash, width of a cell and probes per table. Set for vectors whose
-#: neighbours are hardly nearer than the rest (recall is 0.98 there); nearer neighbours need less.
-TABLES, COORDINATES, CELL, PROBES = 10, 8, 2.0, 160
-#: Candidates per group of buckets, and of one bucket in one group.
-GROUP = 20_000
-#: Queries per block of a group, about. The vectors of the group are repeated per block.
-QUERIES = 20_000
-#: Largest by smallest norm of a range; ranges of at most so many vectors are not hashed.
-RATIO, FEW = 1.25, 1_000
-#: Vectors, and queries, of one block of an exact comparison.
-BLOCK = 4_096
+#: neighbours are hardly nearer than the rest; nearer neighbours need less.
+TABLES, COORDINATES, CELL, PROBES = 20, 12, 2.5, 80
+#: Vectors of a block, about, and queries that meet it in one task. Both are repeated per meeting.
+BLOCK, QUERIES = 16_384, 8_192
+#: Vectors of a block that a query scores at least.
+ENOUGH = 2_000
+#: Largest by smallest norm of a range.
+RATIO = 1.25
 
 
 def probe_sets(coordinates: int, probes: int) -> np.ndarray:
@@ -144,78 +147,53 @@ def _classes(rows: DataFrame, most: int) -> DataFrame:
     return part.groupBy("vector").agg(ids.alias("ids")).select(F.col("ids")[0].alias("cid"), "vector", "ids")
 
 
-def _best(query: np.ndarray, candidate: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The ``k`` best distinct candidates of each query, ties to the smaller id."""
-    order = np.lexsort((-score, candidate, query))
-    query, candidate, score = query[order], candidate[order], score[order]
-    new = np.ones(len(query), bool)
-    new[1:] = (query[1:] != query[:-1]) | (candidate[1:] != candidate[:-1])
-    query, candidate, score = query[new], candidate[new], score[new]
-    order = np.lexsort((candidate, -score, query))
-    query, candidate, score = query[order], candidate[order], score[order]
-    keep = np.arange(len(query)) - np.searchsorted(query, query) < k
-    return query[keep], candidate[keep], score[keep]
-
-
-def _searcher(k: int):
-    def search(vectors: pd.DataFrame, probes: pd.DataFrame) -> pd.DataFrame:
-        """The best of each query among the buckets of this group, bucket by bucket."""
-        out: list[tuple] = []
-        if len(vectors) and len(probes):
-            x, queries = np.stack(vectors["vector"]), np.stack(probes["vector"])
-            cids, qids = vectors["cid"].to_numpy(), probes["qid"].to_numpy()
-            by_bucket = vectors.groupby("cell").indices
-            asked: dict[int, list[int]] = {}
-            for row, cells in enumerate(probes["cells"]):
-                for cell in cells:
-                    asked.setdefault(int(cell), []).append(row)
-            waiting = 0
-            for cell, rows in asked.items():
-                members = by_bucket.get(cell)
-                if members is None:
-                    continue
-                rows = np.array(rows)
-                scores = queries[rows] @ x[members].T
-                if len(members) > k:  # k + ties would change nothing: equal scores go by id below
-                    least = np.partition(scores, len(members) - k, axis=1)[:, len(members) - k]
-                    r, c = np.nonzero(scores >= least[:, None])
-                else:
-                    r, c = np.nonzero(np.ones_like(scores, bool))
-                out.append((qids[rows[r]], cids[members[c]], scores[r, c]))
-                waiting += len(r)
-                if waiting > 2_000_000:
-                    out = [_best(*map(np.concatenate, zip(*out)), k)]
-                    waiting = len(out[0][0])
-        if not out:
-            return pd.DataFrame({"qid": pd.Series(dtype="int64"), "cid": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        q, c, s = _best(*map(np.concatenate, zip(*out)), k)
-        return pd.DataFrame({"qid": q, "cid": c, "score": s})
-
-    return search
+def _first(cids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best, ties to the smaller id."""
+    if len(scores) > k:
+        near = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    else:
+        near = np.arange(len(scores))
+    return near[np.lexsort((cids[near], -scores[near]))[:k]]
 
 
-def _compared(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """``qid, cid, score``: the ``k`` best of each block of vectors, by comparison with them all."""
-    def compare(stored: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        if len(stored) and len(asked):
-            x, cids = np.stack(stored["vector"]), stored["cid"].to_numpy()
-            for at in range(0, len(asked), 256):
-                part = asked.iloc[at:at + 256]
-                scores, qids = np.stack(part["vector"]) @ x.T, part["qid"].to_numpy()
-                least = np.partition(scores, max(len(x) - k, 0), axis=1)[:, max(len(x) - k, 0)]
-                r, c = np.nonzero(scores >= least[:, None])
-                out.append(_best(qids[r], cids[c], scores[r, c], k))
-        q, c, s = map(np.concatenate, zip(*out))
-        return pd.DataFrame({"qid": q, "cid": c, "score": s})
+def _searcher(k: int, hashing: Hashing, sets: np.ndarray):
+    """Searches a block of vectors for some queries: ``qid, cid, score, scored``.
 
-    def dealt(rows: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
-        return rows.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
+    Vectors of range -1 have a norm that cannot be hashed and are scored for every query.
+    """
+    def search(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+        if len(vectors) and len(asked):
+            x, cids, within = np.stack(vectors["vector"]), vectors["cid"].to_numpy(), vectors["within"].to_numpy(np.int64)
+            always, mine = within < 0, np.flatnonzero(within >= 0)
+            cells = hashing.buckets(x[mine], within[mine]).ravel() if len(mine) else np.zeros(0, np.int64)
+            order = np.argsort(cells, kind="stable")
+            members = mine[order // hashing.tables]
+            buckets, first, sizes = np.unique(cells[order], return_index=True, return_counts=True)
+            step = max(1, 500 // max(1, len(hashing.norms)))
+            for at in range(0, len(asked), step):
+                part = asked.iloc[at:at + step]
+                queries = np.stack(part["vector"])
+                wanted = hashing.probed(queries, sets).reshape(len(part), -1) if len(mine) else np.zeros((len(part), 0), np.int64)
+                place = np.minimum(np.searchsorted(buckets, wanted), len(buckets) - 1)
+                held = buckets[place] == wanted
+                for r, (qid, bound) in enumerate(zip(part["qid"], part["bound"])):
+                    visited = place[r][held[r]]
+                    n = sizes[visited]
+                    met = always.copy()
+                    met[members[np.repeat(first[visited] - np.cumsum(n) + n, n) + np.arange(n.sum())]] = True
+                    found = np.flatnonzero(met)
+                    if len(found) < ENOUGH:
+                        found = np.arange(len(x))
+                    scores = x[found] @ queries[r]
+                    good = scores >= bound
+                    kept, scores = found[good], scores[good]
+                    best = _first(cids[kept], scores, k)
+                    out.append((np.full(len(best), qid), cids[kept[best]], scores[best], np.full(len(best), len(found))))
+        q, c, s, n = map(np.concatenate, zip(*out))
+        return pd.DataFrame({"qid": q, "cid": c, "score": s, "scored": n})
 
-    nq, nv = (max(1, -(-rows.count() // BLOCK)) for rows in (queries, vectors))
-    stored = dealt(vectors.select("cid", "vector"), "cid", "v", nv, "q", nq)
-    asked = dealt(queries.select("qid", "vector"), "qid", "q", nq, "v", nv)
-    return stored.groupBy("q", "v").cogroup(asked.groupBy("q", "v")).applyInPandas(compare, "qid long, cid long, score double")
+    return search
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, coordinates: int = COORDINATES, cell: float = CELL, probes: int = PROBES) -> DataFrame:
@@ -243,58 +221,34 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     classes = classes.withColumn("level", level)
     # One row per range of norms: a few, whatever the number of vectors.
     ranges = classes.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm")).orderBy("level").collect()
-    total = sum(r["n"] for r in ranges)
-    hashed = [r for r in ranges if r["n"] > FEW and 0 < r["norm"] < float("inf")]
-    within = {r["level"]: j for j, r in enumerate(hashed)}
+    hashed = [r for r in ranges if 0 < r["norm"] < float("inf")]
     hashing, sets = Hashing(length["n"], [r["norm"] for r in hashed], tables, coordinates, cell), probe_sets(coordinates, probes)
-    by_hash, by_comparison = classes.where(F.col("level").isin([*within])), classes.where(~F.col("level").isin([*within]))
-    groups = max(1, -(-sum(r["n"] for r in hashed) * tables // GROUP))
+    blocks = max(1, -(-sum(r["n"] for r in ranges) // BLOCK))
+    numbers = [x for j, r in enumerate(hashed) for x in (F.lit(r["level"]), F.lit(j).cast("long"))]
+    within = F.coalesce(F.create_map(*numbers)[F.col("level")], F.lit(-1).cast("long")) if hashed else F.lit(-1).cast("long")
+    stored = classes.select("cid", "vector", within.alias("within"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("block"))
     # Zeros of either sign are one vector.
     plain = F.transform("vector", lambda v: v + F.lit(0.0))
     asking = written(own.where("asks").select("id", plain.alias("vector")).join(classes.select("cid", "vector"), "vector").select(F.col("id").alias("query_id"), F.col("cid").alias("qid")).distinct())
     queries = written(classes.join(asking.select(F.col("qid").alias("cid")).distinct(), "cid").select(F.col("cid").alias("qid"), "vector"))
-
-    def hash_vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                cells = hashing.buckets(np.stack(batch["vector"]), batch["level"].map(within).to_numpy(np.int64))
-                yield pd.DataFrame({"cid": batch["cid"], "cells": list(cells)})
-
-    def hash_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            step = max(1, 500 // len(hashed))
-            for at in range(0, len(batch), step):
-                part = batch.iloc[at:at + step]
-                cells = hashing.probed(np.stack(part["vector"]), sets)
-                yield pd.DataFrame({"qid": part["qid"], "cells": list(cells.reshape(len(part), -1))})
-
-    def in_buckets() -> DataFrame:
-        placed = by_hash.select("cid", "vector", "level").mapInPandas(hash_vectors, "cid long, cells array<long>").select("cid", F.explode("cells").alias("cell"))
-        placed = written(placed)
-        # A bucket with many vectors is dealt to several groups.
-        sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("parts"))
-        group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).alias("group")
-        dealt = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("cid"), "parts")).select("cid", "cell", group)
-        blocks = max(1, -(-queries.count() // QUERIES))
-        stored = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(classes.select("cid", "vector"), "cid")
-        visits = queries.mapInPandas(hash_queries, "qid long, cells array<long>").select("qid", F.explode("cells").alias("cell")).distinct()
-        visits = visits.join(sizes, "cell").select("qid", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("qid", "cell", group)
-        wanted = visits.groupBy("qid", "group").agg(F.collect_list("cell").alias("cells")).join(queries, "qid")  # at most the probes
-        wanted = wanted.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
-        return stored.groupBy("group", "block").cogroup(wanted.groupBy("group", "block")).applyInPandas(_searcher(k + 1), "qid long, cid long, score double")
-
-    found = in_buckets() if hashed else None
-    if len(hashed) < len(ranges):
-        few = _compared(queries, by_comparison, k + 1)
-        found = few if found is None else found.unionByName(few)
-    if hashed:
-        found = written(found)
-        held = found.groupBy("qid").agg(F.countDistinct("cid").alias("held")).where(F.col("held") >= min(k + 1, total))
-        short = written(queries.join(held, "qid", "left_anti"))
-        if not short.isEmpty():
-            found = found.unionByName(_compared(short, classes, k + 1))
-    merged = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
-    ranked = merged.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))).where(F.col("place") <= k + 1)
+    asked, best, met = queries.count(), None, 0
+    while met < blocks:
+        more = min(max(met, 1), blocks - met)
+        deals = max(1, -(-asked * more // (blocks * QUERIES)))
+        bounds = best.groupBy("qid").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select("qid", "bound") if best else spark.createDataFrame([], "qid long, bound double")
+        own_block = F.pmod(F.xxhash64("qid"), F.lit(blocks))
+        turns = F.explode(F.sequence(F.lit(met).cast("long"), F.lit(met + more - 1).cast("long"))).alias("turn")
+        visits = queries.join(bounds, "qid", "left").select("qid", "vector", F.coalesce("bound", F.lit(float("-inf"))).alias("bound"), turns)
+        visits = visits.withColumn("block", F.pmod(own_block + F.col("turn"), F.lit(blocks))).withColumn("deal", F.pmod(F.xxhash64("qid", F.lit(1)), F.lit(deals))).drop("turn")
+        offered = stored.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+        new = offered.groupBy("block", "deal").cogroup(visits.groupBy("block", "deal")).applyInPandas(_searcher(k + 1, hashing, sets), "qid long, cid long, score double, scored long")
+        new = new.select("qid", "cid", "score")
+        place = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "cid"))
+        earlier, best = best, written((best.unionByName(new) if best else new).withColumn("place", place).where(F.col("place") <= k + 1).drop("place"))
+        if earlier:
+            release(earlier)
+        met += more
+    ranked = best
     named = ranked.join(classes.select("cid", "ids"), "cid").select("qid", "score", F.explode("ids").alias("vec_id"))
     answers = asking.join(named, "qid").where("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
