@@ -192,6 +192,39 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeated_passages(documents(spark, [])).count() == 0
 
 
+def test_passages_around_a_frequent_phrase(spark):
+    """60 words that two texts share, 44 of which are a phrase that hundreds of texts hold."""
+    phrase, rows = words(44, 7), []
+    for i in range(100):
+        passage = words(8, 1000 + i) + phrase + words(8, 2000 + i)
+        rows += [(2 * i + k, " ".join(words(60 + i, 3000 + 2 * i + k) + passage + words(90, 4000 + 2 * i + k))) for k in range(2)]
+    rows += [(1000 + i, " ".join(words(70, 5000 + i) + phrase + words(70, 6000 + i))) for i in range(300)]
+    found = {(r["doc_id"], r["other_id"]) for r in substring_dedup.repeated_passages(documents(spark, rows)).collect()}
+    want = {(2 * i + k, 2 * i + 1 - k) for i in range(100) for k in range(2)}
+    assert found <= want
+    assert len(found) >= 0.99 * len(want), len(found)
+
+
+def test_repeated_passages_against_brute_force(spark):
+    """Exact and edited copies, links and places, in texts of very different lengths."""
+    rng, rows, want = random.Random(3), [], {}
+    for i in range(60):
+        passage = words(80, 100 + i)
+        copy = [w if k not in {0: (), 1: (40,), 2: (30, 31)}[i % 3] else "edit" for k, w in enumerate(passage)]
+        left, right = rng.randrange(200), rng.choice([0, 5, 3000])
+        rows += [(2 * i, " ".join(words(left, 300 + i) + passage + words(right, 500 + i))), (2 * i + 1, " ".join(copy + words(40, 700 + i)))]
+        want[2 * i, 2 * i + 1] = (left, 0)
+    out = substring_dedup.repeated_passages(documents(spark, rows)).collect()
+    got = {(r["doc_id"], r["other_id"]): (r["first_word"], r["other_first_word"], r["n_words"], r["similarity"]) for r in out if r["doc_id"] < r["other_id"]}
+    assert got.keys() <= want.keys() and len(got) >= 0.95 * len(want)
+    for pair, (at, other, n, similarity) in got.items():
+        assert (at, other, n) == (*want[pair], 80)
+        common = {0: 76, 1: 71, 2: 70}[pair[0] // 2 % 3]
+        assert abs(similarity - common / (152 - common)) < 1e-9
+    turned = {(r["other_id"], r["doc_id"]): (r["other_first_word"], r["first_word"], r["other_n_words"], r["similarity"]) for r in out if r["doc_id"] > r["other_id"]}
+    assert turned == got
+
+
 @pytest.mark.parametrize(("size", "cut", "inserted"), [(90, 45, 10), (90, 45, 9), (80, 40, 9), (99, 49, 11)])
 def test_passages_with_inserted_sentences(size, cut, inserted):
     passage, extra = words(size, 31), words(inserted, 32)
