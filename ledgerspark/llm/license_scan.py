@@ -1,13 +1,12 @@
 """License scan: MinHash bands over overlapping text windows, then exact shingle containment.
 
 Only DataFrame functions. Every text is cut into windows of six words that begin at every
-second word (two five-word shingles each). Each word is hashed once, each shingle once. Bands come
-in pairs: the smallest of a window's hashes under a permutation, and under the reverse of that
-permutation. A shingle of a window of two is the smallest in one band of a pair for certain, so one
-pair retrieves every window that holds a shingle of a template; for windows of more shingles it
-would take several pairs, and more permutations a word. A text with a retrieved window is
-recounted whole on its words, and a template matches where the text holds at least the asked
-share of its shingles.
+second word (two five-word shingles each). Each word is hashed once, each shingle once. A window's
+signature has 16 bands, the smallest of its hashes under each permutation: eight independent
+permutations and the reverse of each. A shingle of a window of two is the smallest in one band of a
+pair for certain, so every window that holds a shingle of a template is retrieved. A text with a
+retrieved window is recounted whole on its words, and a template matches where the text holds at
+least the asked share of its shingles.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ SIZE = 5
 WIDTH, STEP = 2, 2
 CONTAINMENT = 0.8
 #: Of the permutations of 32-bit numbers: products with an odd factor below 2 ** 31, and their reverses.
-FACTORS = [0x5BD1E995]
+FACTORS = [0x5BD1E995, 0x27D4EB2F, 0x165667B1, 0x45D9F3B3, 0x7FEB352D, 0x2C1B3C6D, 0x297A2D39, 0x735A2D97]
 LOW = (1 << 32) - 1
 
 # Notices by which public licenses ask to be named, and opening words of their texts.

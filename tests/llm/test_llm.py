@@ -513,3 +513,14 @@ def test_pipeline(spark):
     held = {r["doc_id"] for r in decontamination.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert not ids & held
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "jaccard_join", "decontamination", "best_fit_packing"]
+
+
+
+def test_license_scan_has_independent_permutations():
+    """Every band is a permutation of its own, odd ones the reverse of the one before."""
+    bands, values = 2 * len(license_scan.FACTORS), [*range(1, 2_000_000_000, 1_234_567)]
+    assert bands >= 16
+    orders = {tuple(sorted(values, key=lambda v: license_scan.permuted(v, b))) for b in range(bands)}
+    assert len(orders) == bands
+    for b in range(0, bands, 2):
+        assert all(license_scan.permuted(v, b) + license_scan.permuted(v, b + 1) == license_scan.LOW for v in values)
