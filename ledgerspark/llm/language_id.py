@@ -30,10 +30,11 @@ from ledgerspark.session import shared_folder, written
 ORDER = 4
 #: Entries per file of a model, about; larger tables are dealt to more files by their hash.
 ENTRIES = 1 << 20
-#: Texts for calibration, taken by a hash of the id.
-CALIBRATION = 3_000
-#: Share of calibration texts that may be rejected, and the room beyond that entropy (nats).
+#: Share of training texts that may be rejected, and the room beyond that entropy (nats).
 REJECTED, ROOM = 0.001, 0.5
+#: Decimals of an entropy, so that a language has a bounded number of them however many texts it has.
+DECIMALS = 3
+SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
 UNKNOWN = "und"
 
 _PAD, _BLANK = 1, 32
@@ -298,38 +299,40 @@ def _models(counted: DataFrame) -> tuple[list[str], list[KneserNey]]:
     return langs, [KneserNey.of(*both, 1.0 / (distinct[lang][-1] + 1)) for lang, both in zip(langs, lists)]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", calibration: int = CALIBRATION) -> Identifier:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Identifier:
     """Counts all texts with a language, writes the models of all their 4-grams and calibrates them.
 
     Null languages and null texts teach nothing. An empty table gives an identifier that knows
-    no language.
+    no language. Sharpness and limits come from all these texts as well: tasks measure them, and
+    the driver sees the sums of each sharpness and one quantile per language.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col, lang_col)
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, lang_col)
     out = Identifier(*_models(count_grams(known, text_col, lang_col)))
     if not out.models:
         return out
-    picked = known.select(id_col).where(F.col(id_col).isNotNull()).orderBy(F.xxhash64(id_col), id_col).limit(calibration)
     shared = docs.sparkSession.sparkContext.broadcast(out)  # names of files
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {lang: k for k, lang in enumerate(shared.value.languages)}
         for batch in batches:
             for rows in slices(batch, text_col):
                 entropy, lettered = shared.value.entropies(rows.column(text_col).to_pylist())
-                yield pa.RecordBatch.from_arrays([rows.column(lang_col), pa.array(list(entropy), pa.list_(pa.float64())), pa.array(lettered)], ["lang", "entropy", "lettered"])
-
-    rows = known.join(F.broadcast(picked.distinct()), id_col).select(text_col, lang_col)  # bounded by the limit
-    seen = [r for r in rows.mapInArrow(measure, "lang string, entropy array<double>, lettered boolean").collect() if r["lettered"]]
+                true = np.array([number[lang] for lang in rows.column(lang_col).to_pylist()], np.int64)
+                own = entropy[np.arange(len(true)), true]
+                surprise = [np.log(np.exp(-s * (entropy - own[:, None])).sum(axis=1)) for s in SHARPNESS]
+                measured = pa.RecordBatch.from_arrays([rows.column(lang_col), pa.array(own), *map(pa.array, surprise)], ["lang", "own", *tried])
+                yield measured.filter(pa.array(lettered))
+
+    tried = [f"s{k}" for k in range(len(SHARPNESS))]
+    rows = known.mapInArrow(measure, "lang string, own double, " + ", ".join(f"{c} double" for c in tried))
+    limit = F.percentile(F.round("own", DECIMALS), F.lit(1 - REJECTED)).alias("limit")
+    seen = rows.groupBy("lang").agg(limit, *[F.sum(c).alias(c) for c in tried]).collect()  # one row per language
     if not seen:
         return out
-    true, entropy = np.array([out.languages.index(r["lang"]) for r in seen]), np.array([r["entropy"] for r in seen])
-    own = entropy[np.arange(len(true)), true]
-
-    def surprise(sharpness: float) -> float:
-        gap = np.exp(-sharpness * (entropy - own[:, None])).sum(axis=1)
-        return float(np.log(gap).mean())
-
-    out.sharpness = min((1.0, 2.0, 4.0, 8.0, 16.0, 32.0), key=surprise)
-    out.limits = np.array([np.quantile(own[true == k], 1 - REJECTED) + ROOM if np.any(true == k) else np.inf for k in range(len(out.languages))])
+    sums = [sum(sorted(r[c] for r in seen)) for c in tried]
+    out.sharpness = SHARPNESS[int(np.argmin(sums))]
+    limits = {r["lang"]: r["limit"] + ROOM for r in seen}
+    out.limits = np.array([limits.get(lang, np.inf) for lang in out.languages])
     return out
 
 

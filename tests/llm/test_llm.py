@@ -524,3 +524,17 @@ def test_license_scan_has_independent_permutations():
     assert len(orders) == bands
     for b in range(0, bands, 2):
         assert all(license_scan.permuted(v, b) + license_scan.permuted(v, b + 1) == license_scan.LOW for v in values)
+
+
+
+def test_language_limits_come_from_all_texts(spark):
+    """One odd text in a thousand and more moves the limit, wherever its id falls."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choice("abcde") for _ in range(5)) for _ in range(8)), "xx") for i in range(4000)]
+    rows += [(None, "".join(rng.choice("vwxyz") for _ in range(40)), "xx") for _ in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    entropy, _ = model.entropies([t for _, t, _ in rows])
+    want = np.quantile(entropy[:, 0], 1 - language_id.REJECTED) + language_id.ROOM
+    assert abs(model.limits[0] - want) < 1e-2
+    assert language_id.identify(docs, model).where("NOT accepted").count() == 0
