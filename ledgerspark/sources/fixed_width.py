@@ -13,6 +13,9 @@ Layout = Sequence[tuple[str, int, int]]
 
 _STRETCH = 7
 
+#: Lines per file, about: a file is sorted and written by one task.
+LINES_PER_FILE = 50_000
+
 # Bytes 0x80-0x9F that Windows-1252 defines, as ISO-8859-1 reads them and as they are meant.
 _BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 _AS_READ = "".join(chr(b) for b in _BYTES)
@@ -78,8 +81,11 @@ def write_record_files(
     """Writes lines as Windows-1252 record files, each with a header and a trailer line.
 
     Lines are dealt to ``files`` by their ``order`` columns, which tell them apart, and stand
-    in that order. The trailer ends with the number of lines of its file.
+    in that order. Beyond ``LINES_PER_FILE`` lines in each there are as many more files as it
+    takes, so that no task's share grows with the lines. The trailer ends with the number of
+    lines of its file.
     """
+    files = max(files, -(-lines.count() // LINES_PER_FILE))
     at = F.pmod(F.xxhash64(*order), F.lit(files)).cast("int")
     body = lines.select(F.col(line).alias("line"), at.alias("file"), F.lit(0).alias("last"),
                         F.struct(*order).alias("at"))

@@ -362,3 +362,13 @@ def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
 
     with pytest.raises(ValueError):
         session.shared_folder(Session())
+
+
+def test_record_files_grow_in_number_with_their_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixed_width, "LINES_PER_FILE", 100)
+    df = spark.range(2000).select("id", F.concat(F.lit("line "), F.col("id")).alias("line"))
+    folder = str(tmp_path / "files")
+    fixed_width.write_record_files(df, folder, files=3, order=["id"])
+    sizes = [len(p.read_bytes().splitlines()) - 2 for p in (tmp_path / "files").rglob("*.csv")]
+    assert len(sizes) == 20 and sum(sizes) == 2000 and max(sizes) < 200
+    assert sorted(r.line for r in fixed_width.read_lines(spark, folder).collect()) == sorted(r.line for r in df.collect())
