@@ -538,3 +538,15 @@ def test_language_limits_come_from_all_texts(spark):
     want = np.quantile(entropy[:, 0], 1 - language_id.REJECTED) + language_id.ROOM
     assert abs(model.limits[0] - want) < 1e-2
     assert language_id.identify(docs, model).where("NOT accepted").count() == 0
+
+
+
+def test_every_place_of_a_repeated_passage_is_linked(spark):
+    """A text that holds a passage twice, far apart, whatever the order of the two texts' numbers."""
+    rows = []
+    for i in range(12):
+        passage = words(100, 9000 + i)
+        rows += [(2 * i, " ".join(words(30, 9100 + i) + passage + words(600, 9200 + i) + passage + words(30, 9300 + i))), (2 * i + 1, " ".join(words(50, 9400 + i) + passage + words(20, 9500 + i)))]
+    out = substring_dedup.repeated_passages(documents(spark, rows)).collect()
+    got = {(r["doc_id"], r["first_word"], r["n_words"], r["other_id"], r["other_first_word"]) for r in out if r["doc_id"] < r["other_id"]}
+    assert got == {(2 * i, at, 100, 2 * i + 1, 50) for i in range(12) for at in (30, 730)}
