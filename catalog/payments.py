@@ -422,7 +422,7 @@ SELECT o_orderkey AS "No", f_fs AS "FACTURA_FS", CAST(s_fs AS DOUBLE) AS saldo,
        CASE WHEN count(*) OVER (PARTITION BY f_fs) > 1 THEN 1 ELSE 0 END AS factura
 FROM anticipos WHERE f_fs IS NOT NULL""")
 def q_flag_advances(spark: SparkSession, d: str) -> DataFrame:
-    done = written(_split(spark, d, "FINANSUEÑOS"))
+    done = _split(spark, d, "FINANSUEÑOS")
     return shown(flags.flag_advances(done).select(
         "No", "FACTURA_FS", F.col("ULTIMO_SALDO_FS").alias("saldo"), "marca",
         F.col("CEDULA_repetida").alias("cliente"), F.col("FACTURA_FS_repetida").alias("factura")))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import labels as L
-from .keyed import collapsed, expanded, flag_repeats, row_counts
+from ..session import written
+from .keyed import collapsed, expanded, flag_repeats, packed_counts
 
 
 def flag_payments(payments: DataFrame) -> DataFrame:
@@ -26,14 +27,15 @@ def flag_payments(payments: DataFrame) -> DataFrame:
 def flag_advances(table: DataFrame) -> DataFrame:
     """Adds ``marca`` for the remark, and flags for a repeated client and repeated documents.
 
-    Equal rows are counted once for all three flags.
+    Equal rows are counted once for all three flags and written as one row each, so ``table`` -
+    a client's accounts times its advances - is made once and never stored in full.
     """
-    packed = collapsed(table)
+    packed = written(collapsed(table))
     out, told = packed, packed.columns
     for column in ("CEDULA", "FACTURA_FS", "FACTURA_ARP"):
         if column in table.columns:
             out = flag_repeats(out, column, f"{column}_repetida", rows=told,
-                               counts=row_counts(table, [column]))
+                               counts=packed_counts(packed, [column]))
     return expanded(out).withColumn(
         "marca",
         F.when(F.col("OBSERVACIONES") == L.TWO_LENDERS, F.lit("dos carteras"))

@@ -144,6 +144,11 @@ def collapsed(df: DataFrame) -> DataFrame:
         _TIMES, F.least(F.lit(EQUAL_ROWS), F.col("_n") - F.col(_PIECE) * EQUAL_ROWS)).drop("_n")
 
 
+def packed_counts(packed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``row_counts`` of the rows that ``collapsed`` counted, without expanding them."""
+    return sum_per_key(packed, keys, {"_rows": F.col(_TIMES)})
+
+
 def expanded(df: DataFrame, times: Column | str = _TIMES) -> DataFrame:
     """The rows that ``collapsed`` counted, each for itself again."""
     number = F.col(times) if isinstance(times, str) else times
@@ -284,14 +289,15 @@ def with_key_variants(
     """``key``, ``key + C1`` and ``key + C2`` each lead to ``value``, one row per key.
 
     A suffixed spelling wins over a plain one, a later row over an earlier one. With
-    ``width`` the keys are zero-padded.
+    ``width`` the keys are zero-padded. Where ``key`` has one row and no width is given,
+    ``order`` may be empty: then the aggregate fits fixed-width buffers and needs no sort.
     """
     spelling = F.col("col") if width is None else zero_pad("col", width)
     spelled = df.dropna(subset=[key]).select(
         value, *order, F.posexplode(F.array(*[F.concat(key, F.lit(s)) for s in ("", "C1", "C2")]))
     )
     return spelled.groupBy(spelling.alias(key)).agg(
-        F.max_by(value, F.struct("pos", *order)).alias(value)
+        F.max_by(value, F.struct("pos", *order) if order else F.col("pos")).alias(value)
     )
 
 

@@ -157,3 +157,19 @@ def test_result_does_not_depend_on_partitions(spark):
     one = keyed.first_per_key(df.coalesce(1), ["key"], ["v", "id"]).orderBy("key").collect()
     many = keyed.first_per_key(df.repartition(8), ["key"], ["v", "id"]).orderBy("key").collect()
     assert one == many
+
+
+def test_advances_are_flagged_from_one_row_of_each_kind(spark, monkeypatch):
+    from ledgerspark.operators import flags
+
+    rows = [("1", "DF-1", "PAGO TOTAL")] * 300 + [("1", "DF-2", "x"), ("2", None, "x"), (None, None, "x")]
+    table = spark.createDataFrame(rows, "CEDULA string, FACTURA_FS string, OBSERVACIONES string")
+    kept = []
+    monkeypatch.setattr(flags, "written", lambda df: kept.append(df.localCheckpoint()) or kept[-1])
+    done = flags.flag_advances(table)
+    assert [t.count() for t in kept] == [4]
+    got = sorted(done.groupBy("CEDULA", "FACTURA_FS", "CEDULA_repetida", "FACTURA_FS_repetida", "marca")
+                 .count().collect(), key=str)
+    assert sorted([("1", "DF-1", True, True, "pago total", 300), ("1", "DF-2", True, False, "", 1),
+                   ("2", None, False, False, "", 1), (None, None, False, False, "", 1)], key=str) \
+        == sorted((tuple(r) for r in got), key=str)
