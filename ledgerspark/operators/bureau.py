@@ -24,7 +24,8 @@ from ..functions.validity import (
     DEFAULT_CITY, DEFAULT_DEPARTMENT, city_or_default, place_or_default, valid_email, valid_phone,
 )
 from .keyed import (
-    first_per_key, last_per_key, lookup, row_counts, spread_join, sum_per_key, with_key_variants,
+    first_per_key, last_per_key, lookup, row_counts_of, spread_join, sum_per_key,
+    with_key_variants,
 )
 
 
@@ -107,12 +108,13 @@ def repair_contact(current: str, replacement: str) -> Column:
 
 
 def with_person(
-    records: DataFrame, id_column: str, fixes: Corrections, *, rows: Sequence[str] | None = None
+    records: DataFrame, id_column: str, fixes: Corrections, *, rows: Sequence[str] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the person columns by raw identifier and puts the corrected identifier in place."""
     table = person_table(fixes).withColumnRenamed("id", "good").withColumnRenamed("raw", id_column)
     return (
-        lookup(records, table, [id_column], rows=rows)
+        lookup(records, table, [id_column], rows=rows, counts=counts)
         .withColumn(id_column, F.coalesce("good", id_column))
         .drop("good", "in_master")
     )
@@ -150,7 +152,8 @@ def payments_received(
         payments.select(key.alias("account"), F.col("amount").cast(MONEY).alias("amount")),
         ["account"], {"amount": F.col("amount")},
     ).select("account", (thousands(amount) if in_thousands else amount.cast(MONEY)).alias("paid"))
-    return with_key_variants(summed, "account", "paid", ["account"], width=width)
+    # An account has one sum, so only padding can make two of them one key.
+    return with_key_variants(summed, "account", "paid", ["account"] if width else [], width=width)
 
 
 def id_type_text(code: str = "code", *, width: int | None = None) -> Column:
@@ -220,7 +223,8 @@ def clean_bureau_a(records: DataFrame, fixes: Corrections, *, apply_payments: bo
     columns, rows = record_columns(records)
     account = zero_pad(F.coalesce(drop_spaces(A_ACCOUNT), F.lit("")), A_ACCOUNT_WIDTH)
     keyed = records.withColumns({A_ID: id_text(A_ID), A_ACCOUNT: account})
-    person = with_person(keyed, A_ID, fixes, rows=rows)
+    of_id, of_account = row_counts_of(keyed, [A_ID], [A_ACCOUNT])
+    person = with_person(keyed, A_ID, fixes, rows=rows, counts=of_id)
     fixed = repair_contacts(person, {A_NAME: "name", A_ADDRESS: "address", A_EMAIL: "email",
                                      A_PHONE: "phone"})
 
@@ -230,7 +234,7 @@ def clean_bureau_a(records: DataFrame, fixes: Corrections, *, apply_payments: bo
                                         in_thousands=False))
     valued = spread_join(
         fixed, [t.withColumnRenamed("account", A_ACCOUNT) for t in tables], [A_ACCOUNT],
-        rows=rows, counts=row_counts(keyed, [A_ACCOUNT]),
+        rows=rows, counts=of_account,
     )
     amounts = {A_OPENING: F.coalesce(F.col("opening").cast("string"), F.col(A_OPENING))}
     if apply_payments:
@@ -320,7 +324,8 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
     columns, rows = record_columns(records)
     account = prefix(F.coalesce(drop_spaces(names.account_number), F.lit("")), B_ACCOUNT_WIDTH)
     keyed = records.withColumn(names.account_number, account)
-    person = with_person(keyed, names.id_number, fixes, rows=rows)
+    of_id, of_account = row_counts_of(keyed, [names.id_number], [names.account_number])
+    person = with_person(keyed, names.id_number, fixes, rows=rows, counts=of_id)
     fixed = repair_contacts(person, {names.full_name: "name", names.address: "address",
                                      names.email: "email", names.phone: "phone"})
     valued = spread_join(
@@ -328,7 +333,7 @@ def clean_bureau_b(records: DataFrame, fixes: Corrections, names: BureauBColumns
         [t.withColumnRenamed("account", names.account_number)
          for t in (opening_values(fixes.opening), payments_received(fixes.payments))],
         [names.account_number],
-        rows=rows, counts=row_counts(keyed, [names.account_number]),
+        rows=rows, counts=of_account,
     )
 
     untouched = (names.email, names.actual_value_paid, names.id_number)

@@ -63,8 +63,11 @@ def to_windows_1252(c: Column | str) -> Column:
 
 
 def fits_windows_1252(c: Column) -> Column:
-    """Whether all characters of a text have a byte, and none of them ends a line."""
-    return F.length(F.translate(c, _PRINTED, "")) == 0
+    """Whether all characters of a text have a byte, and none of them ends a line.
+
+    Looking each character up takes long, so that is done for texts beyond ISO-8859-1 only.
+    """
+    return c.rlike(r"^[ -~\xA0-\xFF]*+\z") | (F.length(F.translate(c, _PRINTED, "")) == 0)
 
 
 def _text_options(io):

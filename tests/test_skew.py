@@ -173,3 +173,33 @@ def test_advances_are_flagged_from_one_row_of_each_kind(spark, monkeypatch):
     assert sorted([("1", "DF-1", True, True, "pago total", 300), ("1", "DF-2", True, False, "", 1),
                    ("2", None, False, False, "", 1), (None, None, False, False, "", 1)], key=str) \
         == sorted((tuple(r) for r in got), key=str)
+
+
+def test_sums_per_account_need_no_sort(spark):
+    from ledgerspark.operators import bureau
+
+    paid = spark.createDataFrame([("CR", "1", 5000), ("CR", "1", 2000), ("CR", "1C1", 9000), ("CR", "2", None)],
+                                 "kind string, number string, amount int")
+    done = bureau.payments_received(paid)
+    assert "SortAggregate" not in done._jdf.queryExecution().toString()
+    assert {r.account: r.paid for r in done.collect()} == {
+        "CR1": 7, "CR1C1": 7, "CR1C2": 7, "CR1C1C1": 9, "CR1C1C2": 9, "CR2": 0, "CR2C1": 0, "CR2C2": 0}
+
+
+def test_records_are_counted_once_for_both_keys(spark, monkeypatch):
+    from ledgerspark.operators import bureau
+
+    asked = []
+    counts = bureau.row_counts_of
+    monkeypatch.setattr(bureau, "row_counts_of", lambda df, *keys: asked.append(keys) or counts(df, *keys))
+    c = "name string, address string, email string, phone string"
+    some = lambda schema: spark.createDataFrame([], f"{schema}, _ord long")
+    fixes = bureau.Corrections(some("bad string, good string"), some(f"id string, {c}"), some("id string, code int"),
+                               *[some("kind string, number string, amount decimal(18,2)")] * 2, some("id string, full_name string"))
+    names = bureau.B
+    columns = [v for v in vars(names).values()]
+    record = spark.createDataFrame([["7" if c == names.id_number else "CR 1" if c == names.account_number else "3"
+                                     for c in columns]], columns)
+    got = bureau.clean_bureau_b(record.unionByName(record), fixes).collect()
+    assert asked == [([names.id_number], [names.account_number])]
+    assert [(r[names.id_number], r[names.account_number].strip()) for r in got] == [("0" * 14 + "7", "CR1")] * 2

@@ -372,3 +372,14 @@ def test_record_files_grow_in_number_with_their_lines(spark, tmp_path, monkeypat
     sizes = [len(p.read_bytes().splitlines()) - 2 for p in (tmp_path / "files").rglob("*.csv")]
     assert len(sizes) == 20 and sum(sizes) == 2000 and max(sizes) < 200
     assert sorted(r.line for r in fixed_width.read_lines(spark, folder).collect()) == sorted(r.line for r in df.collect())
+
+
+def test_what_fits_windows_1252(spark):
+    from ledgerspark.sources.fixed_width import fits_windows_1252
+
+    texts = ["", "Peña ¿ÿ~ ", "€ Š", "a\nb", "a\n", "\x7f", "\x80", "π", "€π", "😀", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    fits = rows.select("i", fits_windows_1252(F.col("t")).alias("ok"))
+    # Plain texts are told by ranges, before any character is looked up.
+    assert "RLIKE" in fits._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: r.ok for r in fits.collect()} == dict(enumerate([True] * 3 + [False] * 7 + [None]))
