@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm import decontamination, jaccard_join, line_dedup, packing, toxicity
 from ledgerspark.llm.queries import table, vocabulary
-from ledgerspark.session import written
+from ledgerspark.session import short_batches, written
 
 #: Near duplicates: runs of five words, similarity of 0.8 or more.
 SIZE, PERCENT = 5, 80
@@ -19,6 +19,7 @@ SIZE, PERCENT = 5, 80
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that score below the decision level; a null text counts as empty."""
+    short_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.remainder("doc_id", 3) != 1)
     return toxicity.score(docs, model, name="__score").where(F.col("__score") < toxicity.LEVEL).select(*docs.columns)
 
@@ -36,6 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are told apart by id and whole text, so different texts of one id, or of none, are
     documents of their own; of equal rows one stays. Rows without words stay, once each.
     """
+    short_batches(spark)
     row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
     keyed = docs.withColumn("__row", row)
     rows = written(keyed.groupBy("__row").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
@@ -50,11 +52,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops every row that holds a test item, with or without an id."""
+    short_batches(spark)
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of at most 4096 tokens."""
+    short_batches(spark)
     return packing.packed_documents(docs, vocabulary("word_bpe_49k.json"), 4096, end_id=1)
 
 

@@ -28,7 +28,7 @@ from ledgerspark.session import release, written
 #: Wide fragments in which overlaps are counted.
 WIDE = 4
 #: Rows that a task gathers before it merges equal ones.
-GATHER = 1 << 21
+GATHER = 1 << 18
 #: Needed ids up to this number are broadcast (16 MB); more are joined.
 BROADCAST = 1_000_000
 

@@ -550,3 +550,25 @@ def test_every_place_of_a_repeated_passage_is_linked(spark):
     out = substring_dedup.repeated_passages(documents(spark, rows)).collect()
     got = {(r["doc_id"], r["first_word"], r["n_words"], r["other_id"], r["other_first_word"]) for r in out if r["doc_id"] < r["other_id"]}
     assert got == {(2 * i, at, 100, 2 * i + 1, 50) for i in range(12) for at in (30, 730)}
+
+
+def test_stages_hand_texts_over_in_short_batches(spark, monkeypatch):
+    """Whole texts go to Python by bytes, not by 10,000 rows; a session's own limit stays."""
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    docs = documents(spark, [(i, "x" * 50_000) for i in range(400)]).coalesce(1)
+    monkeypatch.setattr(corpus_pipeline.packing, "packed_documents", lambda docs, *_, **__: docs)
+    corpus_pipeline.pack(spark, docs, "")
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    assert max(r["n"] for r in sizes.collect()) < 100
+    spark.conf.set(name, "9m")
+    corpus_pipeline.pack(spark, docs, "")
+    assert spark.conf.get(name) == "9m"
+    spark.conf.unset(name)
+
+
+def test_few_fragments_are_gathered_at_a_time():
+    """What a task gathers is concatenated, sorted and sent: some ten arrays of that many numbers."""
+    assert 10 * 8 * jaccard_join.GATHER <= 32 << 20
