@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import re
 import zlib
 from itertools import combinations
@@ -572,3 +573,47 @@ def test_stages_hand_texts_over_in_short_batches(spark, monkeypatch):
 def test_few_fragments_are_gathered_at_a_time():
     """What a task gathers is concatenated, sorted and sent: some ten arrays of that many numbers."""
     assert 10 * 8 * jaccard_join.GATHER <= 32 << 20
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """A written table leaves no shuffle files behind, and the session's setting stays."""
+    from ledgerspark.session import written
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        return {f for f in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before, was = kept(), spark.conf.get(name)
+    table = written(spark.range(10_000).repartition(3, "id"))
+    for _ in range(50):
+        if not kept() - before:
+            break
+        time.sleep(0.1)
+    assert not kept() - before
+    assert table.count() == 10_000 and spark.conf.get(name) == was
+
+
+def test_passages_of_texts_that_repeat_themselves(monkeypatch):
+    """Parts of a text with the same values are looked for in the other text once, and counted without sorting."""
+    rng, calls = np.random.default_rng(4), []
+    cycle = np.arange(31)
+    x, y = (np.tile(np.concatenate([cycle[:k], 100 * k + np.arange(6), cycle[k:]]), 60) for k in (10, 20))
+    real = substring_dedup._verified
+    monkeypatch.setattr(substring_dedup, "_verified", lambda *args: calls.append(1) or real(*args))
+    assert substring_dedup.verified_passages(x, y) == []
+    assert len(calls) <= 5, len(calls)
+    for _ in range(200):  # every row that is named has the similarity of its two sets
+        x = rng.integers(0, 200, 150)
+        y = np.where(rng.random(150) < 0.04, rng.integers(300, 400, 150), x)
+        for s, e, t, f, value in substring_dedup.verified_passages(x, y):
+            a, b = set(x[s:e + 1].tolist()), set(y[t:f + 1].tolist())
+            assert value == len(a & b) / len(a | b) >= substring_dedup.SIMILARITY
+
+
+def test_rows_that_come_repeatedly_are_cut_once(spark):
+    passage = words(80, 41)
+    rows = [(1, " ".join(words(30, 42) + passage))] * 40 + [(1, " ".join(words(90, 43)))] * 3 + [(2, " ".join(passage + words(25, 44)))] * 30 + [(3, " ".join(words(200, 45)))]
+    out = substring_dedup.repeated_passages(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["first_word"], r["n_words"], r["other_id"], r["other_first_word"]) for r in out) == [(1, 30, 80, 2, 0), (2, 0, 80, 1, 30)]
