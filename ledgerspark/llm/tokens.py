@@ -20,6 +20,8 @@ from ledgerspark.llm.hashing import SAME, mix, utf8, word_hashes
 
 #: Pieces kept per Python worker and kind of tokenizer, in about 30 bytes each.
 CACHE = 3_000_000
+#: Pieces encoded in one string.
+LEARN = 4096
 #: Stands between the pieces that are encoded to learn them; never part of a piece.
 MARK = "\x01"
 
@@ -93,7 +95,12 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        """Encodes pieces; those of a vocabulary with blanks have theirs in front."""
+        """Encodes pieces, a few thousand in one string, as the library needs far more memory than the ids."""
+        ids, sizes = zip(*(self._encoded(pieces[at:at + LEARN]) for at in range(0, len(pieces), LEARN)))
+        self.store.add(hashes, np.concatenate(ids), np.concatenate(sizes))
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has; those of a vocabulary with blanks have theirs in front."""
         if self.drops_blanks:
             ids = self._ids("".join(f" {MARK} {p}" for p in pieces))
             at = np.flatnonzero(self.begins[ids])
@@ -104,7 +111,7 @@ class Encoder:
             stops = np.append(starts[1:], len(ids))
         if len(starts) != len(pieces):
             raise ValueError("pieces do not come back one by one")
-        self.store.add(hashes, ids[_expand(starts, stops - starts)], stops - starts)
+        return ids[_expand(starts, stops - starts)], stops - starts
 
     def _is_cut(self, text: str) -> bool:
         """Whether a text may be cut at its blanks; else it must be encoded whole."""

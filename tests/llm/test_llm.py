@@ -617,3 +617,37 @@ def test_rows_that_come_repeatedly_are_cut_once(spark):
     rows = [(1, " ".join(words(30, 42) + passage))] * 40 + [(1, " ".join(words(90, 43)))] * 3 + [(2, " ".join(passage + words(25, 44)))] * 30 + [(3, " ".join(words(200, 45)))]
     out = substring_dedup.repeated_passages(documents(spark, rows)).collect()
     assert sorted((r["doc_id"], r["first_word"], r["n_words"], r["other_id"], r["other_first_word"]) for r in out) == [(1, 30, 80, 2, 0), (2, 0, 80, 1, 30)]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_new_pieces_are_encoded_a_few_at_a_time(monkeypatch, name):
+    """No string that is given to the library grows with the pieces of a slice; ids are the library's."""
+    import public_tokenizers
+
+    monkeypatch.setattr(tokens, "LEARN", 7)
+    encoder, given = tokens.Encoder(public_tokenizers.path(name)), []
+    real = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: given.append(len(text)) or real(text))
+    texts = [" ".join(words(150, 70 + i)) + "\n" + " ".join(words(90, 80 + i)).title() for i in range(4)]
+    out = encoder.encode(texts)
+    assert max(given) <= 7 * (3 + max(len(w) for t in texts for w in t.split()))
+    for text, ids in zip(texts, out):
+        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_stages_read_whole_texts_a_few_rows_at_a_time(spark, monkeypatch):
+    """Parquet's reader holds 512 rows at a time in the stages; a session's own number stays."""
+    import corpus_pipeline
+
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.unset(name)
+    monkeypatch.setattr(corpus_pipeline.packing, "packed_documents", lambda docs, *_, **__: docs)
+    try:
+        corpus_pipeline.pack(spark, documents(spark, []), "")
+        assert spark.conf.get(name) == "512"
+        spark.conf.set(name, 1000)
+        corpus_pipeline.pack(spark, documents(spark, []), "")
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.unset(name)
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
