@@ -18,8 +18,8 @@ import pyarrow as pa
 
 from ledgerspark.llm.hashing import SAME, mix, utf8, word_hashes
 
-#: Pieces kept per Python worker and kind of tokenizer, in about 30 bytes each.
-CACHE = 3_000_000
+#: Pieces kept per Python worker and kind of tokenizer, in about 40 bytes each, twice that while some are added.
+CACHE = 1_500_000
 #: Pieces encoded in one string.
 LEARN = 4096
 #: Stands between the pieces that are encoded to learn them; never part of a piece.
@@ -43,6 +43,7 @@ class Store:
         none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.levels = [none, none]
         self.ids, self.bounds = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.met = np.zeros(0, bool)  # found again after the run of texts that brought it
 
     def __len__(self) -> int:
         return len(self.bounds) - 1
@@ -54,12 +55,25 @@ class Store:
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
                 out = np.where(keys[at] == hashes, numbers[at], out)
+        self.met[out[out >= 0]] = True
+        return out
+
+    def repeated(self, most: int) -> Store:
+        """The pieces that were found again; none if they are more than ``most``."""
+        out, kept = Store(), np.flatnonzero(self.met)
+        if 0 < len(kept) <= most:
+            hashes = np.empty(len(self), np.uint64)
+            for keys, numbers in self.levels:
+                hashes[numbers] = keys
+            sizes = np.diff(self.bounds)[kept]
+            out.add(hashes[kept], self.ids[_expand(self.bounds[kept], sizes)], sizes)
         return out
 
     def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         first = len(self)
         self.ids = np.concatenate([self.ids, ids])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        self.met = np.concatenate([self.met, np.zeros(len(sizes), bool)])
         large, small = self.levels
         small = np.concatenate([small[0], hashes]), np.concatenate([small[1], np.arange(first, len(self))])
         if len(small[0]) > 50_000 + len(large[0]) // 4:
@@ -145,9 +159,9 @@ class Encoder:
         number = self.store.find(distinct)
         new = np.flatnonzero(number < 0)
         if len(new) and len(self.store) + len(new) > self.most:
-            self.store = Store()
-            number[:] = -1
-            new = np.arange(len(distinct))
+            self.store = self.store.repeated(self.most // 2)  # most pieces are met once
+            number = self.store.find(distinct)
+            new = np.flatnonzero(number < 0)
         if len(new):
             at, data = first[new], raw.tobytes()
             pieces = [data[a:b].decode() for a, b in zip(start[at].tolist(), stop[at].tolist())]

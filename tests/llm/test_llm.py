@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 import time
 import re
 import zlib
@@ -651,3 +654,41 @@ def test_stages_read_whole_texts_a_few_rows_at_a_time(spark, monkeypatch):
     finally:
         spark.conf.unset(name)
         spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_freed_memory_of_a_batch_goes_back_to_the_system():
+    # The executor counts what an idle worker keeps; the last small array held 200 MB of freed ones in place.
+    script = r"""
+import re, numpy as np, pyarrow as pa
+from ledgerspark.llm.hashing import slices
+
+def held():
+    return int(re.search(r"Private_Dirty:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+
+begin = held()
+for rows in slices(pa.RecordBatch.from_pydict({"text": ["a b"] * 10})):
+    arrays = [np.ones(12_500) for _ in range(2_000)]
+    last = arrays[-1]
+    del arrays
+print(held() - begin)
+"""
+    folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", script], cwd=folder, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 60
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_full_store_keeps_the_pieces_that_come_again(name):
+    often = [f"ever{i}" for i in range(60)]
+    runs = [[" ".join([*often, *(f"once{run}x{i}" for i in range(80))])] for run in range(20)]
+    small, whole = tokens.Encoder(vocabulary(name), most=200), Tokenizer.from_file(vocabulary(name))
+    learnt, learn = [], small._learn
+    small._learn = lambda hashes, pieces: (learnt.extend(pieces), learn(hashes, pieces))
+    for texts in runs:
+        assert np.frombuffer(small.encode(texts)[0], "<u4").tolist() == whole.encode(texts[0], add_special_tokens=False).ids
+        assert len(small.store) <= 200
+    assert len(learnt) < 20 * 80 + 5 * len(often)  # a store begun anew learns all of them about ten times
+    # Too many that come again: begun anew, with the same ids.
+    tiny = tokens.Encoder(vocabulary(name), most=100)
+    assert [tiny.encode(t) for t in runs * 2] == [small.encode(t) for t in runs * 2]
