@@ -692,3 +692,36 @@ def test_a_full_store_keeps_the_pieces_that_come_again(name):
     # Too many that come again: begun anew, with the same ids.
     tiny = tokens.Encoder(vocabulary(name), most=100)
     assert [tiny.encode(t) for t in runs * 2] == [small.encode(t) for t in runs * 2]
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_all_texts_that_hold_a_passage_are_linked(spark, monkeypatch, block):
+    """Every two of them, also where some are edited, and whatever the number of blocks."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rows = []
+    for i in range(30):
+        passage = words(70, 8000)
+        if i % 3 == 0:
+            passage[35] = f"edit{i}"
+        rows.append((i, " ".join(words(20 + 3 * i, 8100 + i) + passage + words(40 + i, 8200 + i))))
+    out = substring_dedup.repeated_passages(documents(spark, rows + rows[:5])).collect()
+    got = {(r["doc_id"], r["first_word"], r["n_words"], r["other_id"], r["other_first_word"]) for r in out}
+    assert got == {(i, 20 + 3 * i, 70, k, 20 + 3 * k) for i in range(30) for k in range(30) if i != k}
+    assert len(out) == len(got)
+
+
+def test_passages_of_many_pairs_are_those_of_each():
+    """Stretches that are the same, edited ones, repeated runs, empty sides, all numbered together."""
+    rng, xs, ys = np.random.default_rng(8), [], []
+    for k in range(600):
+        base = rng.integers(0, 1 << 32 if k % 5 else 60, rng.integers(20, 150))
+        copy = np.where(rng.random(len(base)) < (0, 0.02, 0.1)[k % 3], rng.integers(0, 1 << 32, len(base)), base)
+        ends = [rng.integers(0, 1 << 32 if k % 7 else 80, n) for n in rng.integers(0, 60, 4)]
+        xs.append(np.concatenate([ends[0], base, ends[1]])[: 0 if k % 50 == 9 else None].astype("<u4"))
+        ys.append(np.concatenate([ends[2], copy, ends[3], *([base[:60]] if k % 11 == 0 else [])])[: 0 if k % 40 == 3 else None].astype("<u4"))
+    found = substring_dedup.passages_of(xs, ys)
+    assert sum(map(len, found)) > 300
+    for x, y, passages in zip(xs, ys, found):
+        of, number = np.unique(np.concatenate([x, y]), return_inverse=True)
+        before = [np.array([max((j for j in range(i) if z[j] == z[i]), default=-1) for i in range(len(z))], np.int64) for z in (x, y)]
+        assert passages == substring_dedup._passages_of_pair(len(of), number[:len(x)], number[len(x):], *before)
