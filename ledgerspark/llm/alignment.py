@@ -27,14 +27,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerspark.llm.hashing import slices
-from ledgerspark.session import written
+from ledgerspark.session import short_batches, written
 
-#: Units kept per Python worker and pair of vocabularies.
-CACHE = 400_000
+#: Units kept per Python worker and pair of vocabularies; when they are full, those met again stay.
+CACHE = 240_000
 #: Bytes of text per chunk: the documents whose id pairs are counted and marked together. They
 #: are aligned in steps, which bounds what a worker holds at a time.
 CHUNK = 1 << 22
 STEP = 1 << 20
+#: Rows of chunks are megabytes, and Parquet's reader holds the lists of a whole row group: each of about
+#: ``GROUP`` bytes, which is looked at after every row.
+GROUP = 1 << 20
 #: The mark of a blank inside the pieces of side B (fixed value).
 BLANK = "▁"
 SHIFT = 32
@@ -139,9 +142,24 @@ class Aligner:
         self.groups: list[str] = []
         self.counts = np.zeros((0, 4), np.int64)
         self.fits = np.zeros(0, bool)
+        self.met = np.zeros(0, bool)  # found again after the texts that brought it
         self.bounds = np.zeros(1, np.int64)
         self.pairs = self.times = np.zeros(0, np.int64)
 
+    def _keep_met(self, most: int) -> None:
+        """Drops the units that were not found again; all, if others are more than ``most``."""
+        kept = np.flatnonzero(self.met)
+        if len(kept) > most:
+            self._forget()
+            return
+        place, many = _expand(self.bounds, kept)
+        number = np.cumsum(self.met) - 1
+        self.known = {u: int(number[k]) for u, k in self.known.items() if self.met[k]}
+        self.groups = [self.groups[k] for k in kept.tolist()]
+        self.counts, self.fits, self.bounds = self.counts[kept], self.fits[kept], _starts(many)
+        self.pairs, self.times = self.pairs[place], self.times[place]
+        self.met = np.zeros(len(kept), bool)
+
     def _units(self, text: str) -> list[str] | None:
         """The units of a text, or None if it must be aligned whole."""
         if not self.cuts or "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
@@ -178,6 +196,7 @@ class Aligner:
         bounds, pairs, times = _counted(unit, (a[link_a] << SHIFT) | b[link_b], np.ones(len(link_a), np.int64), len(units))
         self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, np.diff(first), np.diff(links)], axis=1)])
         self.fits = np.append(self.fits, fits)
+        self.met = np.append(self.met, np.zeros(len(fits), bool))
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + bounds[1:]])
         self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
 
@@ -194,10 +213,12 @@ class Aligner:
         cut = [self._units(t) if t else [] for t in texts]
         wanted = set().union(*[u for u in cut if u])
         new = wanted.difference(self.known)
+        before = len(self.groups)
         if new:
             if len(self.known) + len(new) > self.most:
-                self._forget()
-                new = wanted
+                self._keep_met(self.most // 2)
+                new = wanted.difference(self.known)
+            before = len(self.groups)
             new = list(new)
             self.known.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
             self._add(new, whole=False)
@@ -211,6 +232,7 @@ class Aligner:
             self._add([texts[i] for i in whole], whole=True)
         at = np.concatenate(places) if places else np.zeros(0, np.int64)
         at = at.astype(np.int64)
+        self.met[at[at < before]] = True
         of = np.repeat(np.arange(len(texts)), [len(p) for p in places])
         counts = np.stack([np.bincount(of, self.counts[at, k], len(texts)) for k in range(4)], axis=1).astype(np.int64)
         key, many = np.unique(of * (len(self.groups) + 1) + at, return_counts=True)
@@ -221,7 +243,7 @@ class Aligner:
         groups = [";".join([text[k] for k in p.tolist()]) for p in places]
         if whole:
             del self.groups[kept[0]:]
-            self.counts, self.fits, self.bounds = self.counts[:kept[0]], self.fits[:kept[0]], self.bounds[:kept[0] + 1]
+            self.counts, self.fits, self.met, self.bounds = self.counts[:kept[0]], self.fits[:kept[0]], self.met[:kept[0]], self.bounds[:kept[0] + 1]
             self.pairs, self.times = self.pairs[:kept[1]], self.times[:kept[1]]
         return Batch(counts, groups, bounds, pairs, times)
 
@@ -317,9 +339,10 @@ def alignment_digest(docs: DataFrame, path_a: str, path_b: str, id_col: str = "d
     Rows as in ``aligned``. A pair goes once per chunk through the shuffles, not once per
     document, and its count comes back to the chunks that hold it, so no table of counts is
     held whole by a task or the driver. A chunk holds about ``CHUNK`` bytes of text, or one
-    document that is longer.
+    document that is longer; a task holds a few chunks at a time, however many it has.
     """
-    parts = written(chunks(docs, path_a, path_b, id_col, text_col))
+    short_batches(docs.sparkSession)
+    parts = written(chunks(docs, path_a, path_b, id_col, text_col), **{"parquet.block.size": GROUP, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1})
     here = parts.select("chunk", F.explode("pairs").alias("pair"))
     marks = here.join(pair_counts(parts), "pair").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("pair", "n", "best"))).alias("marks"))
     marks = marks.select("chunk", F.col("marks.n").alias("n"), F.col("marks.best").alias("best"))

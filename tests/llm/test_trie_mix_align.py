@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import math
 import random
@@ -9,6 +10,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,3 +248,33 @@ def test_groups_break_where_both_sides_end():
     a, b = alignment.coalesce(np.array([2, 5, 6, 9]), np.array([3, 5, 9]))
     assert a.tolist() == [0, 0, 1, 1] and b.tolist() == [0, 0, 1]
     assert list(zip(*[x.tolist() for x in alignment.overlaps(np.array([2, 5, 6, 9]), np.array([3, 5, 9]))])) == [(0, 0), (1, 0), (1, 1), (2, 2), (3, 2)]
+
+
+def test_chunks_are_read_a_few_at_a_time(spark, monkeypatch):
+    """A task reads as many rows of megabytes at a time as one row group has, and hands over as many."""
+    import pyarrow.parquet as pq
+
+    found, real = [], alignment.written
+    monkeypatch.setattr(alignment, "GROUP", 1 << 10)
+    monkeypatch.setattr(alignment, "written", lambda df, **options: found.append(real(df, **options)) or found[0])
+    text = " ".join(["".join(random.Random(i).choices("abcdefgh", k=7)) for i in range(512)] * (5 * alignment.CHUNK // 4 // 4096 // 2))
+    docs = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string").coalesce(1)
+    out = alignment.alignment_digest(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")).collect()
+    assert len(out) == 4 and len({tuple(r)[1:] for r in out}) == 1
+    groups = [f.metadata.row_group(k).num_rows for f in map(pq.ParquetFile, glob.glob(f"{found[0].written_to}/*.parquet")) for k in range(f.metadata.num_row_groups)]
+    assert sum(groups) >= 2 and max(groups) == 1
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
+
+
+def test_a_full_store_of_units_keeps_those_that_come_again():
+    path = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    small, large = alignment.Aligner(*path, most=60), alignment.Aligner(*path)
+    rng = random.Random(6)
+    own = lambda: ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(8)]
+    often = own()
+    for k in range(30):
+        texts = [" ".join(often + own()), None, "two  blanks", " ".join(own() + often[:3])]
+        x, y = small.align(texts), large.align(texts)
+        assert x.groups == y.groups and all(np.array_equal(getattr(x, c), getattr(y, c)) for c in ("counts", "bounds", "pairs", "times"))
+        assert len(small.known) <= 60 and len(small.groups) == len(small.met) == len(small.known)
+        assert k == 0 or all(w in small.known for w in often)
