@@ -73,3 +73,16 @@ def test_windows_only_along_a_calendar(spark):
     """The one window runs over client days; repeats are flagged without one."""
     assert plan_of(QUERIES["assign_invoice"](spark, SF)).count("Window [") == 1
     assert "Window" not in plan_of(QUERIES["dup_flag"](spark, SF))
+
+
+def test_monthly_base_frees_what_it_has_used(spark, monkeypatch):
+    """Sales, reduced tables and earlier placements are gone once the report is placed."""
+    plan = sys.modules["ledgerspark.plans.monthly_base"]
+
+    tables, real = [], plan.written
+    monkeypatch.setattr(plan, "written", lambda df: tables.append(real(df)) or tables[-1])
+    report = QUERIES["monthly_base"](spark, SF)
+    assert report.count() > 0
+    wide = [t for t in tables if "Credito" in t.columns]
+    assert len(wide) >= 8 and wide[-1].count() > 0
+    assert all(spark.read.schema(t.schema).parquet(t.written_to).isEmpty() for t in wide[:-1])
